@@ -276,13 +276,13 @@ def final_recommendation_card(
     )
 
 
-def evaluate_classifier(scored: DataFrame) -> dict[str, DataFrame]:
+def evaluate_classifier(scored: DataFrame, **prefix_kw) -> dict[str, DataFrame]:
     """The evaluation bundle for every model in the scored table."""
     return {
-        "metrics": binary_metrics(scored),
+        "metrics": binary_metrics(scored, **prefix_kw),
         "confusion_matrix": confusion_matrix(scored),
         "classification_report": classification_report(scored),
-        "threshold_table": threshold_table(scored),
+        "threshold_table": threshold_table(scored, **prefix_kw),
     }
 
 

@@ -13,9 +13,9 @@ from staylens.functions.columns import fixed_day_label, label_definition_text, p
 from staylens.operators.ordered import percentile_columns
 
 
-def percentile_threshold(df: DataFrame, los_col: str = "los_days", percentile: float = C.LONG_STAY_PERCENTILE, name: str = "p90_threshold") -> DataFrame:
+def percentile_threshold(df: DataFrame, los_col: str = "los_days", percentile: float = C.LONG_STAY_PERCENTILE, name: str = "p90_threshold", **prefix_kw) -> DataFrame:
     """One-row DataFrame with the exact percentile of ``los_col`` (NULL when empty)."""
-    return percentile_columns(df, los_col, {name: percentile})
+    return percentile_columns(df, los_col, {name: percentile}, **prefix_kw)
 
 
 def with_threshold(df: DataFrame, threshold: DataFrame) -> DataFrame:
@@ -28,9 +28,10 @@ def add_long_stay_labels(
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
     keep_threshold: bool = True,
+    **prefix_kw,
 ) -> DataFrame:
     """Both labels; the percentile threshold is kept as ``p90_threshold``."""
-    out = with_threshold(df, percentile_threshold(df, los_col, percentile)).withColumns(
+    out = with_threshold(df, percentile_threshold(df, los_col, percentile, **prefix_kw)).withColumns(
         {
             "long_stay_gt_7d": fixed_day_label(los_col, fixed_day_threshold),
             "long_stay_gte_p90": percentile_label(los_col, "p90_threshold"),
@@ -49,19 +50,20 @@ def make_target_label(
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
     output_col: str = "target_long_stay",
+    **prefix_kw,
 ) -> DataFrame:
     """Target column for ``gt_7d`` or ``gte_p90``; ``target_threshold`` holds the cut."""
     if label_mode == "gt_7d":
         return df.withColumns({output_col: fixed_day_label(los_col, fixed_day_threshold), "target_threshold": F.lit(float(fixed_day_threshold))})
     if label_mode == "gte_p90":
-        t = percentile_threshold(df, los_col, percentile, "target_threshold")
+        t = percentile_threshold(df, los_col, percentile, "target_threshold", **prefix_kw)
         return with_threshold(df, t).withColumn(output_col, percentile_label(los_col, "target_threshold"))
     raise ValueError("label_mode must be one of: {'gt_7d', 'gte_p90'}")
 
 
-def _label_counts(df: DataFrame, los_col: str, fixed_day_threshold: float, percentile: float) -> DataFrame:
+def _label_counts(df: DataFrame, los_col: str, fixed_day_threshold: float, percentile: float, **prefix_kw) -> DataFrame:
     """One row: total, fixed-label count, percentile threshold, percentile-label count."""
-    labeled = with_threshold(df.select(los_col), percentile_threshold(df, los_col, percentile))
+    labeled = with_threshold(df.select(los_col), percentile_threshold(df, los_col, percentile, **prefix_kw))
     return labeled.agg(
         F.count(F.lit(1)).alias("_total"),
         F.sum(fixed_day_label(los_col, fixed_day_threshold)).alias("_fixed"),
@@ -75,9 +77,10 @@ def long_stay_definition_comparison(
     los_col: str = "los_days",
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
+    **prefix_kw,
 ) -> DataFrame:
     """definition, threshold_value_days, positive_count, positive_rate (two rows)."""
-    counts = _label_counts(df, los_col, fixed_day_threshold, percentile)
+    counts = _label_counts(df, los_col, fixed_day_threshold, percentile, **prefix_kw)
     total = F.col("_total")
     rows = F.array(
         F.struct(
@@ -101,9 +104,10 @@ def label_prevalence_table(
     los_col: str = "los_days",
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
+    **prefix_kw,
 ) -> DataFrame:
     """Comparison plus mode, clarity and note; prevalence is NULL for an empty input."""
-    counts = _label_counts(df, los_col, fixed_day_threshold, percentile)
+    counts = _label_counts(df, los_col, fixed_day_threshold, percentile, **prefix_kw)
     total = F.col("_total")
 
     def row(mode, threshold, count):

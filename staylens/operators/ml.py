@@ -67,7 +67,7 @@ def numeric_and_categorical(df: DataFrame, features: Sequence[str]) -> tuple[lis
     return numeric, [c for c in features if c not in numeric]
 
 
-def preprocess_stats(train: DataFrame, features: Sequence[str]) -> DataFrame:
+def preprocess_stats(train: DataFrame, features: Sequence[str], **prefix_kw) -> DataFrame:
     """Long table: feature, kind, median, mean, std (numeric after median fill,
     population std), mode (categorical, smallest on ties)."""
     numeric, categorical = numeric_and_categorical(train, features)
@@ -75,7 +75,7 @@ def preprocess_stats(train: DataFrame, features: Sequence[str]) -> DataFrame:
     if numeric:
         pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in numeric])
         long = train.select(F.inline(pairs))
-        med = percentile_columns(long, "x", {"median": 0.5}, ["feature"])  # one row per numeric feature
+        med = percentile_columns(long, "x", {"median": 0.5}, ["feature"], **_times(prefix_kw, len(numeric)))  # one row per numeric feature
         joined = long.join(F.broadcast(med), on="feature", how="left")
         filled = F.coalesce(F.col("x"), F.col("median"))
         num = joined.groupBy("feature").agg(
@@ -97,6 +97,13 @@ def preprocess_stats(train: DataFrame, features: Sequence[str]) -> DataFrame:
     return out
 
 
+def _times(prefix_kw: dict, factor: int) -> dict:
+    kw = dict(prefix_kw)
+    if kw.get("row_bound") is not None:
+        kw["row_bound"] *= factor
+    return kw
+
+
 def _sql_number(v) -> str:
     return "CAST(NULL AS DOUBLE)" if v is None or (isinstance(v, float) and math.isnan(v)) else f"CAST({float(v)!r} AS DOUBLE)"
 

@@ -130,12 +130,15 @@ def ordered_prefix(
     max_buckets: int | None = None,
     seed: int = DEFAULT_SEED,
     n_rows: int | None = None,
+    row_bound: int | None = None,
 ) -> DataFrame:
     """Add ``_pos`` (1-based row position within the partition, in ``order_by`` order)
     and ``_cum_<name>`` (inclusive running sum) for each entry of ``sums``.
 
     Rows with equal order keys get distinct, arbitrary positions (ROWS semantics);
-    make the order total, or pre-aggregate ties, when that matters.
+    make the order total, or pre-aggregate ties, when that matters.  ``row_bound`` (an
+    upper bound on the rows, e.g. the count of the persisted input) replaces the count
+    job that otherwise sizes the buckets.
     """
     part = list(partition_by)
     keys = _keys(order_by)
@@ -143,7 +146,7 @@ def ordered_prefix(
         raise ValueError("order_by needs at least one key")
     measures = {name: col_of(c) for name, c in (sums or {}).items()}
     base = df.withColumns({f"_m_{name}": c for name, c in measures.items()}) if measures else df
-    n = base.count() if n_rows is None else n_rows
+    n = n_rows if n_rows is not None else row_bound if row_bound is not None else base.count()
     buckets = plan_buckets(n, rows_per_bucket, max_buckets)
     order_cols = [k.sort_col() for k in keys]
     running = (Window.unboundedPreceding, Window.currentRow)
@@ -232,6 +235,15 @@ def exact_percentiles(
     """
     g = list(group_by)
     v = col_of(value).cast("double")
+    row_bound = prefix_kw.get("row_bound")
+    if row_bound is not None and row_bound <= (prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET):
+        # Known small input: Spark's exact percentile keeps a value -> count map of at
+        # most row_bound entries per group; one aggregation, same interpolation.
+        agg = df.where(v.isNotNull()).groupBy(*g).agg(F.percentile(v, [float(p) for p in probs]).alias("_vals"))
+        rows = F.arrays_zip(F.sequence(F.lit(0), F.lit(len(probs) - 1)).alias("i"), F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("_vals").alias("v"))
+        return agg.where(F.col("_vals").isNotNull()).select(*g, F.inline(rows)).select(
+            *g, F.col("i").cast("int").alias("_pidx"), F.col("p").alias("percentile"), F.col("v").alias("value")
+        )
     vc = df.where(v.isNotNull()).groupBy(*[F.col(c) for c in g], v.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
     pref = ordered_prefix(vc, g, [OrderKey("_v")], {"w": "_w"}, **prefix_kw)
     pref = pref.withColumn("_end", F.col("_cum_w") - 1).withColumn("_start", F.col("_cum_w") - F.col("_w"))

@@ -31,7 +31,7 @@ def long_stay_outlier_review(
     cut = keep.agg(F.min("_v").alias("_cut"))  # one row
     top = with_threshold(cohort, cut).where(los >= F.col("_cut")).drop("_cut")
     rows = top.join(keep.select(F.col("_v").alias(los_col), "dense_rank_desc", "percent_rank"), on=los_col, how="inner")
-    rows = with_threshold(rows, percentile_threshold(cohort, los_col, percentile, "p90_los_days"))
+    rows = with_threshold(rows, percentile_threshold(cohort, los_col, percentile, "p90_los_days", **prefix_kw))
     cohort_cols = [c for c in C.COHORT_COLUMNS if c in cohort.columns]
     return rows.select(
         *cohort_cols,

@@ -21,11 +21,19 @@ from staylens.operators.labels import percentile_threshold, with_threshold
 from staylens.operators.ordered import exact_percentiles, percentile_columns
 
 
+def _scaled(prefix_kw: dict, factor: int) -> dict:
+    """The row bound of a relation after each row was repeated ``factor`` times."""
+    kw = dict(prefix_kw)
+    if kw.get("row_bound") is not None:
+        kw["row_bound"] = kw["row_bound"] * factor
+    return kw
+
+
 def _pct_name(p: float) -> str:
     return "median_los_days" if abs(p - 0.5) < 1e-12 else f"p{int(round(p * 100))}_los_days"
 
 
-def los_summary_table(df: DataFrame, los_col: str = "los_days") -> DataFrame:
+def los_summary_table(df: DataFrame, los_col: str = "los_days", **prefix_kw) -> DataFrame:
     """n, mean, median, std (sample), min, p25, p75, p90, p95, p99, max over non-NULL LOS."""
     los = F.col(los_col)
     stats = df.where(los.isNotNull()).agg(
@@ -35,16 +43,16 @@ def los_summary_table(df: DataFrame, los_col: str = "los_days") -> DataFrame:
         F.min(los).cast("double").alias("min_los_days"),
         F.max(los).cast("double").alias("max_los_days"),
     )
-    pct = percentile_columns(df, los_col, {n: p for n, p in (("median_los_days", 0.5), ("p25_los_days", 0.25), ("p75_los_days", 0.75), ("p90_los_days", 0.9), ("p95_los_days", 0.95), ("p99_los_days", 0.99))})
+    pct = percentile_columns(df, los_col, {n: p for n, p in (("median_los_days", 0.5), ("p25_los_days", 0.25), ("p75_los_days", 0.75), ("p90_los_days", 0.9), ("p95_los_days", 0.95), ("p99_los_days", 0.99))}, **prefix_kw)
     return stats.crossJoin(F.broadcast(pct)).select(
         "n_admissions", "mean_los_days", "median_los_days", "std_los_days", "min_los_days",
         "p25_los_days", "p75_los_days", "p90_los_days", "p95_los_days", "p99_los_days", "max_los_days",
     )
 
 
-def los_percentile_table(df: DataFrame, los_col: str = "los_days", percentiles: Sequence[float] = C.PERCENTILE_TABLE_DEFAULT) -> DataFrame:
+def los_percentile_table(df: DataFrame, los_col: str = "los_days", percentiles: Sequence[float] = C.PERCENTILE_TABLE_DEFAULT, **prefix_kw) -> DataFrame:
     """Rows (percentile, los_days)."""
-    return exact_percentiles(df, los_col, list(percentiles)).select("percentile", F.col("value").alias("los_days"))
+    return exact_percentiles(df, los_col, list(percentiles), **prefix_kw).select("percentile", F.col("value").alias("los_days"))
 
 
 def los_overall_summary(
@@ -52,13 +60,14 @@ def los_overall_summary(
     los_col: str = "los_days",
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
+    **prefix_kw,
 ) -> DataFrame:
     """Overall statistics, both thresholds and both long-stay shares (15 columns)."""
     los = F.col(los_col)
     names = {_pct_name(p): p for p in C.SUMMARY_PERCENTILES}
     if not any(abs(p - percentile) < 1e-12 for p in names.values()):
         names["_thr"] = percentile
-    pct = percentile_columns(cohort, los_col, names)
+    pct = percentile_columns(cohort, los_col, names, **prefix_kw)
     thr_name = next(n for n, p in names.items() if abs(p - percentile) < 1e-12)
     base = with_threshold(cohort.select(los_col), pct.select(F.col(thr_name).alias("_thr")))
     stats = base.agg(
@@ -92,6 +101,7 @@ def subgroup_summary(
     los_col: str = "los_days",
     fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD,
     percentile: float = C.LONG_STAY_PERCENTILE,
+    **prefix_kw,
 ) -> DataFrame:
     """Per (dimension, value): n, mean, median, both long-stay shares; NULL -> 'Unknown'.
 
@@ -99,7 +109,7 @@ def subgroup_summary(
     largest subgroup is not sorted in one task."""
     los = F.col(los_col)
     dims = [d for d in dimensions if d in cohort.columns]
-    base = with_threshold(cohort.select(los_col, *dims), percentile_threshold(cohort, los_col, percentile, "_thr"))
+    base = with_threshold(cohort.select(los_col, *dims), percentile_threshold(cohort, los_col, percentile, "_thr", **prefix_kw))
     long = _unpivot_dimensions(base, dims, [los_col, "_thr"])
     keys = ["dimension", "dimension_value"]
     stats = long.groupBy(*keys).agg(
@@ -108,7 +118,7 @@ def subgroup_summary(
         share(los > F.lit(float(fixed_day_threshold))).alias("long_stay_share_gt_7d"),
         share(los >= F.col("_thr")).alias("long_stay_share_gte_p90"),
     )
-    med = percentile_columns(long, los_col, {"median_los_days": 0.5}, keys)
+    med = percentile_columns(long, los_col, {"median_los_days": 0.5}, keys, **_scaled(prefix_kw, len(dims)))
     return stats.join(med, on=keys, how="left").select(
         "dimension", "dimension_value", "n_admissions", "mean_los_days", "median_los_days",
         "long_stay_share_gt_7d", "long_stay_share_gte_p90",
@@ -216,14 +226,14 @@ def admit_period(ts: str | Column = "admittime") -> Column:
     return F.when(wd >= 4, F.lit("Fri-Sun")).when(wd.isNotNull(), F.lit("Mon-Thu"))
 
 
-def calendar_subgroup(cohort: DataFrame, los_col: str = "los_days", fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD) -> DataFrame:
+def calendar_subgroup(cohort: DataFrame, los_col: str = "los_days", fixed_day_threshold: float = C.LONG_STAY_DAYS_THRESHOLD, **prefix_kw) -> DataFrame:
     """Fri-Sun vs Mon-Thu: admissions, exact median LOS, long-stay rate."""
     los = F.col(los_col)
     base = cohort.select(los_col, admit_period("admittime").alias("admit_period"))
     stats = base.groupBy("admit_period").agg(
         F.count(F.lit(1)).alias("n_admissions"), share(los > F.lit(float(fixed_day_threshold))).alias("long_stay_rate")
     )
-    med = percentile_columns(base, los_col, {"median_los_days": 0.5}, ["admit_period"])
+    med = percentile_columns(base, los_col, {"median_los_days": 0.5}, ["admit_period"], **prefix_kw)
     return stats.join(med, on="admit_period", how="left").select("admit_period", "n_admissions", "median_los_days", "long_stay_rate")
 
 

@@ -52,7 +52,7 @@ def duplicate_admission_report(df: DataFrame, id_col: str = "hadm_id") -> DataFr
     )
 
 
-def sanity_summary(raw: DataFrame, clean: DataFrame, los_col: str = "los_days") -> DataFrame:
+def sanity_summary(raw: DataFrame, clean: DataFrame, los_col: str = "los_days", **prefix_kw) -> DataFrame:
     """Raw vs clean row counts, distinct ids and LOS min/median/max (NULL if absent)."""
     raw_n = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
     parts = [F.count(F.lit(1)).alias("clean_rows")]
@@ -63,7 +63,7 @@ def sanity_summary(raw: DataFrame, clean: DataFrame, los_col: str = "los_days")
         parts += [F.min(los_col).cast("double").alias("los_min"), F.max(los_col).cast("double").alias("los_max")]
     clean_agg = clean.agg(*parts)
     if has_los:
-        median = percentile_columns(clean, los_col, {"los_median": 0.5})
+        median = percentile_columns(clean, los_col, {"los_median": 0.5}, **prefix_kw)
     else:
         median = clean.sparkSession.range(1).select(F.lit(None).cast("double").alias("los_median"))
         clean_agg = clean_agg.withColumns({"los_min": F.lit(None).cast("double"), "los_max": F.lit(None).cast("double")})

@@ -3,6 +3,7 @@ a scored relation built without training (two deterministic scores)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,19 @@ HASH_MULTIPLIER = 7919
 HASH_MODULUS = 1000
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """Persist a relation that one query reads several times (bucket planning, one-row
+    thresholds, the main pass).  Blocks lost with an executor are recomputed from lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return adapter_relations(spark, sf_dir)
 
 
 def cohort_sql(spark: SparkSession, sf_dir: str, with_patients: bool = True, ordered: bool = False) -> DataFrame:
     adm, pat = relations(spark, sf_dir)
-    cohort = build_cohort_sql(adm, pat if with_patients else None)
+    cohort = reused(build_cohort_sql(adm, pat if with_patients else None))
     return order_cohort(cohort) if ordered else cohort
 
 
@@ -35,7 +42,7 @@ def cohort_python(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cohort_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Python-mode cohort after categorical cleanup (the notebook's working table)."""
-    return normalize_categorical_labels(cohort_python(spark, sf_dir))
+    return reused(normalize_categorical_labels(cohort_python(spark, sf_dir)))
 
 
 def modeling_dataset(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
@@ -68,4 +75,10 @@ def scored_relation(cohort: DataFrame) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_relation(cohort_sql(spark, sf_dir))
+    return reused(scored_relation(cohort_sql(spark, sf_dir)))
+
+
+def bounded(df: DataFrame) -> tuple[DataFrame, dict]:
+    """The persisted relation and ``{"row_bound": n}``.  Counting it is the action that
+    fills the cache; the bound then sizes every ordered step without another job."""
+    return df, {"row_bound": df.count()}

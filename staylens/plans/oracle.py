@@ -540,7 +540,7 @@ SQL["risk_tier"] = BASE_SCORED + f"""
   SELECT COALESCE(MIN(threshold) FILTER (WHERE is_balanced = 1), CAST({C.FINAL_BALANCED_THRESHOLD} AS DOUBLE)) AS b,
          COALESCE(MIN(threshold) FILTER (WHERE is_recall_priority = 1), CAST({C.FINAL_RECALL_PRIORITY_THRESHOLD} AS DOUBLE)) AS r
   FROM marked WHERE model = 'score_rule'
-), s AS (SELECT hadm_id, {_RULE_DEFAULT} AS p FROM cohort_clean)
+), s AS (SELECT hadm_id, {_RULE_DEFAULT} AS p FROM cohort_sql)
 SELECT hadm_id, {_r('p', 'risk_probability')}, {_r('b', 'balanced_threshold')}, {_r('r', 'recall_priority_threshold')},
        CASE WHEN p >= b THEN 1 ELSE 0 END AS predicted_class,
        CASE WHEN p >= GREATEST(r, b) THEN 'High' WHEN p >= LEAST(r, b) * CAST({C.RISK_MODERATE_FACTOR} AS DOUBLE) THEN 'Moderate' ELSE 'Low' END AS risk_tier

@@ -75,62 +75,71 @@ def q_normalized(spark, sf):
 @query("los_overall")
 def q_los_overall(spark, sf):
     """A2 overall summary with both thresholds and shares."""
-    return P.los_overall_summary(X.cohort_sql(spark, sf, with_patients=False))
+    c, kw = X.bounded(X.cohort_sql(spark, sf, with_patients=False))
+    return P.los_overall_summary(c, **kw)
 
 
 @query("los_summary")
 def q_los_summary(spark, sf):
     """A1 eleven LOS statistics."""
-    return P.los_summary_table(X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return P.los_summary_table(c, **kw)
 
 
 @query("los_percentiles")
 def q_los_percentiles(spark, sf):
     """A3 percentile table."""
-    return P.los_percentile_table(X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return P.los_percentile_table(c, **kw)
 
 
 @query("subgroup_summary")
 def q_subgroup_summary(spark, sf):
     """A8 subgroup summary over three dimensions in one pass."""
-    return P.subgroup_summary(X.cohort_sql(spark, sf, with_patients=False))
+    c, kw = X.bounded(X.cohort_sql(spark, sf, with_patients=False))
+    return P.subgroup_summary(c, **kw)
 
 
 @query("subgroup_rates")
 def q_subgroup_rates(spark, sf):
     """A9 long-form subgroup rates for both labels."""
-    return P.subgroup_long_stay_rates(L.add_long_stay_labels(X.cohort_clean(spark, sf)), SUBGROUP_RATE_COLUMNS)
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return P.subgroup_long_stay_rates(L.add_long_stay_labels(c, **kw), SUBGROUP_RATE_COLUMNS)
 
 
 @query("subgroup_share")
 def q_subgroup_share(spark, sf):
     """A10 single-dimension long-stay share."""
-    labeled = L.add_long_stay_labels(X.cohort_clean(spark, sf))
-    return P.long_stay_share_by(labeled, "insurance", "long_stay_gt_7d")
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return P.long_stay_share_by(L.add_long_stay_labels(c, **kw), "insurance", "long_stay_gt_7d")
 
 
 @query("definition_comparison")
 def q_definition_comparison(spark, sf):
     """A6 two-row definition comparison."""
-    return L.long_stay_definition_comparison(X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return L.long_stay_definition_comparison(c, **kw)
 
 
 @query("label_prevalence")
 def q_label_prevalence(spark, sf):
     """A7 label prevalence table."""
-    return L.label_prevalence_table(X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return L.label_prevalence_table(c, **kw)
 
 
 @query("label_recommendation")
 def q_label_recommendation(spark, sf):
     """A22 label recommendation."""
-    return L.recommend_long_stay_definition(L.long_stay_definition_comparison(X.cohort_clean(spark, sf)))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return L.recommend_long_stay_definition(L.long_stay_definition_comparison(c, **kw))
 
 
 @query("outlier_review")
 def q_outlier_review(spark, sf):
     """T2 (W3, W4) long-stay outlier review."""
-    return long_stay_outlier_review(X.cohort_sql(spark, sf))
+    c, kw = X.bounded(X.cohort_sql(spark, sf))
+    return long_stay_outlier_review(c, **kw)
 
 
 @query("bed_day_concentration")
@@ -148,7 +157,8 @@ def q_bed_days_by(spark, sf):
 @query("calendar_subgroup")
 def q_calendar(spark, sf):
     """A17 Fri-Sun vs Mon-Thu."""
-    return P.calendar_subgroup(X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return P.calendar_subgroup(c, **kw)
 
 
 @query("rate_ratio")
@@ -193,7 +203,8 @@ def q_duplicates(spark, sf):
 def q_sanity(spark, sf):
     """A13 raw vs clean sanity summary."""
     adm, _ = X.relations(spark, sf)
-    return Q.sanity_summary(adm, X.cohort_clean(spark, sf))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return Q.sanity_summary(adm, c, **kw)
 
 
 @query("integrity_checks")
@@ -235,13 +246,15 @@ def q_modeling_dataset(spark, sf):
 @query("labels")
 def q_labels(spark, sf):
     """F6 / P6 / P7 both labels with the p90 threshold."""
-    return L.add_long_stay_labels(X.cohort_clean(spark, sf)).select("hadm_id", "los_days", "long_stay_gt_7d", "long_stay_gte_p90", "p90_threshold")
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return L.add_long_stay_labels(c, **kw).select("hadm_id", "los_days", "long_stay_gt_7d", "long_stay_gte_p90", "p90_threshold")
 
 
 @query("target_label")
 def q_target_label(spark, sf):
     """P8 target label in percentile mode."""
-    return L.make_target_label(X.cohort_clean(spark, sf), "gte_p90").select("hadm_id", "target_long_stay", "target_threshold")
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return L.make_target_label(c, "gte_p90", **kw).select("hadm_id", "target_long_stay", "target_threshold")
 
 
 @query("target_prevalence")
@@ -254,25 +267,29 @@ def q_target_prevalence(spark, sf):
 @query("pr_curve")
 def q_pr_curve(spark, sf):
     """E1 precision/recall at every distinct score."""
-    return E.threshold_table(X.scored(spark, sf))
+    s, kw = X.bounded(X.scored(spark, sf))
+    return E.threshold_table(s, **kw)
 
 
 @query("binary_metrics")
 def q_binary_metrics(spark, sf):
     """E2-E5 accuracy, precision, recall, F1, ROC-AUC, average precision, Brier."""
-    return E.binary_metrics(X.scored(spark, sf))
+    s, kw = X.bounded(X.scored(spark, sf))
+    return E.binary_metrics(s, **kw)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
     """E9 metrics sorted by PR-AUC then ROC-AUC."""
-    return E.compare_model_metrics(E.binary_metrics(X.scored(spark, sf)))
+    s, kw = X.bounded(X.scored(spark, sf))
+    return E.compare_model_metrics(E.binary_metrics(s, **kw))
 
 
 @query("metric_melt")
 def q_metric_melt(spark, sf):
     """E18 metrics in long form."""
-    return E.metric_melt(E.binary_metrics(X.scored(spark, sf)))
+    s, kw = X.bounded(X.scored(spark, sf))
+    return E.metric_melt(E.binary_metrics(s, **kw))
 
 
 @query("confusion_matrix")
@@ -309,15 +326,16 @@ def q_marked(spark, sf):
 @query("calibration")
 def q_calibration(spark, sf):
     """E13 decile calibration."""
-    return E.calibration_table(X.scored(spark, sf))
+    s, kw = X.bounded(X.scored(spark, sf))
+    return E.calibration_table(s, **kw)
 
 
 @query("decision_card")
 def q_card(spark, sf):
     """E17 final decision card (named model absent -> best PR-AUC model)."""
-    scored = X.scored(spark, sf)
-    metrics = E.binary_metrics(scored)
-    prevalence = L.label_prevalence_table(X.cohort_sql(spark, sf))
+    scored, kw = X.bounded(X.scored(spark, sf))
+    metrics = E.binary_metrics(scored, **kw)
+    prevalence = L.label_prevalence_table(X.cohort_sql(spark, sf), **kw)
     selection = E.select_operating_thresholds(E.threshold_tuning(scored))
     return E.final_recommendation_card(metrics, prevalence, selection)
 
@@ -332,10 +350,11 @@ def q_heuristic(spark, sf):
 @query("risk_tier")
 def q_risk_tier(spark, sf):
     """R4 + R5 + R7: heuristic score, thresholds from the marked tuning table, tier."""
-    tuning = E.threshold_tuning(X.scored(spark, sf))
+    cohort = X.cohort_sql(spark, sf)
+    tuning = E.threshold_tuning(X.scored_relation(cohort))
     marked = E.mark_selected_thresholds(tuning, E.select_operating_thresholds(tuning))
     policy = resolve_policy(spark, marked, model=FIXTURE_POLICY_MODEL)
-    scored = add_heuristic_score(X.cohort_clean(spark, sf))
+    scored = add_heuristic_score(cohort)
     return apply_policy(scored, policy).select("hadm_id", "risk_probability", "balanced_threshold", "recall_priority_threshold", "predicted_class", "risk_tier")
 
 
@@ -351,12 +370,13 @@ def q_aligned(spark, sf):
 @query("split_counts")
 def q_split_counts(spark, sf):
     """M1 exact stratified split counts."""
-    target = L.make_target_label(X.cohort_clean(spark, sf), "gt_7d")
-    return split_counts(stratified_split(target))
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return split_counts(stratified_split(L.make_target_label(c, "gt_7d"), **kw))
 
 
 @query("preprocess_stats")
 def q_preprocess(spark, sf):
     """M2 fit statistics (median, mean, population std, mode) over the modeling dataset."""
     featured, safe = X.modeling_dataset(spark, sf)
-    return preprocess_stats(featured, safe)
+    _, kw = X.bounded(featured)
+    return preprocess_stats(featured, safe, **kw)

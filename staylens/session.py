@@ -18,6 +18,10 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for DataFrame error messages costs a JVM round trip per Column
+    # function; plans here are built from many expressions, so it is off.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
