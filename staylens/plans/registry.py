@@ -19,7 +19,16 @@ from staylens.operators import labels as L
 from staylens.operators import profile as P
 from staylens.operators import quality as Q
 from staylens.operators.features import engineer_admission_time_features, engineer_demographic_features, normalize_categorical_labels
-from staylens.operators.ml import preprocess_stats, split_counts, stratified_split
+from staylens.operators.ml import (
+    feature_names,
+    logistic_importance,
+    permutation_importance,
+    predict_scores,
+    preprocess_stats,
+    split_counts,
+    stratified_split,
+    train_model,
+)
 from staylens.operators.outliers import long_stay_outlier_review
 from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy
 from staylens.plans import fixtures as X
@@ -380,3 +389,35 @@ def q_preprocess(spark, sf):
     featured, safe = X.modeling_dataset(spark, sf)
     _, kw = X.bounded(featured)
     return preprocess_stats(featured, safe, **kw)
+
+
+# ---- training (rows-only checks: fitted models are not value-comparable) ---------------
+def _train_test(spark, sf):
+    featured, safe = X.modeling_dataset(spark, sf)
+    featured, kw = X.bounded(featured)
+    split = X.reused(stratified_split(L.make_target_label(featured, "gt_7d"), **kw))
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), safe, kw
+
+
+@query("model_scores")
+def q_model_scores(spark, sf):
+    """M3 + M6: class-balanced logistic regression scored on the test split."""
+    train, test, safe, _ = _train_test(spark, sf)
+    model = train_model(train, safe, "logistic_regression")
+    return predict_scores(model, test, "logistic_regression")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    """E14: top-20 logistic coefficients by absolute value, with expanded names."""
+    train, test, safe, _ = _train_test(spark, sf)
+    model = train_model(train, safe, "logistic_regression")
+    return logistic_importance(spark, model, feature_names(model, test), top_n=20)
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """E16: accuracy drop per permuted raw feature, 20 repeats, top 20."""
+    train, test, safe, kw = _train_test(spark, sf)
+    model = train_model(train, safe, "logistic_regression")
+    return permutation_importance(model, test, safe, n_repeats=20, top_n=20, **kw)
