@@ -75,7 +75,9 @@ def binary_metrics(scored: DataFrame, **prefix_kw) -> DataFrame:
         F.first("n_pos").alias("n_pos"),
         F.first("n_neg").alias("n_neg"),
         F.sum(F.col("neg").cast("double") * (above + F.lit(0.5) * F.col("pos").cast("double"))).alias("_auc"),
-        F.sum((F.col("pos").cast("double") / F.col("n_pos").cast("double")) * (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double"))).alias("_ap"),
+        F.sum(
+            F.when(F.col("n_pos") > 0, (F.col("pos").cast("double") / F.col("n_pos").cast("double")) * (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")))
+        ).alias("_ap"),
     )
     precision = _div0(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _div0(F.col("tp"), F.col("tp") + F.col("fn"))

@@ -184,10 +184,10 @@ def bed_day_concentration(cohort: DataFrame, los_col: str = "los_days", fixed_da
     return agg.select(
         "n_admissions",
         F.col("long_stay_admissions").cast("long").alias("long_stay_admissions"),
-        (F.col("long_stay_admissions") / F.col("n_admissions")).alias("long_stay_admission_share"),
+        F.try_divide(F.col("long_stay_admissions").cast("double"), F.col("n_admissions").cast("double")).alias("long_stay_admission_share"),
         "total_bed_days",
         "long_stay_bed_days",
-        (F.col("long_stay_bed_days") / F.col("total_bed_days")).alias("long_stay_bed_day_share"),
+        F.try_divide(F.col("long_stay_bed_days"), F.col("total_bed_days")).alias("long_stay_bed_day_share"),
     )
 
 
@@ -301,7 +301,7 @@ def los_density(df: DataFrame, los_col: str = "los_days", points: int = 200) ->
     rng = _range(df, los_col)
     vals = df.where(los.isNotNull()).groupBy(los.cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
     base = vals.crossJoin(F.broadcast(rng.select("_lo0", "_hi0", "_n", "_sd")))  # one-row aggregate
-    h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
+    h = F.when(F.col("_sd") > 0, F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))  # NULL: no density
     step = (F.col("_hi0") - F.col("_lo0")) / F.lit(float(points - 1))
 
     def grid(i: int) -> Column:
@@ -313,7 +313,7 @@ def los_density(df: DataFrame, los_col: str = "los_days", points: int = 200) ->
     )
     norm = F.col("_n").cast("double") * h * F.lit(math.sqrt(2.0 * math.pi))
     rows = F.array(*[F.struct(F.lit(i).alias("point"), grid(i).alias("los_days"), (F.col(f"_d{i}") / norm).alias("density")) for i in range(points)])
-    return sums.where(F.col("_n") > 1).select(F.inline(rows))
+    return sums.where((F.col("_n") > 1) & (F.col("_sd") > 0)).select(F.inline(rows))
 
 
 def target_prevalence(df: DataFrame, target_col: str = "target_long_stay") -> DataFrame:

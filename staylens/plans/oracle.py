@@ -389,7 +389,7 @@ SQL["los_density"] = BASE + f"""
          FROM cohort_clean WHERE los_days IS NOT NULL),
 vals AS (SELECT los_days AS x, COUNT(*) AS w FROM cohort_clean WHERE los_days IS NOT NULL GROUP BY 1),
 pts AS (SELECT CAST(i AS INTEGER) AS point, st.lo + CAST(i AS DOUBLE) * ((st.hi - st.lo) / CAST(199.0 AS DOUBLE)) AS g, st.n, st.h
-        FROM range(0, 200) r(i) CROSS JOIN st WHERE st.n > 1)
+        FROM range(0, 200) r(i) CROSS JOIN st WHERE st.n > 1 AND st.sd > 0)
 SELECT point, {_r('g', 'los_days')},
        {_r('SUM(CAST(w AS DOUBLE) * EXP(-0.5 * POW((g - x) / h, 2))) / ((CAST(MAX(n) AS DOUBLE) * MAX(h)) * SQRT(2.0 * PI()))', 'density')}
 FROM pts CROSS JOIN vals GROUP BY point, g"""
