@@ -116,6 +116,9 @@ def fit_preprocessor(train: DataFrame, features: Sequence[str]) -> tuple[Pipelin
     """Fit on the training rows only; returns the pipeline model and its output columns."""
     numeric, categorical = numeric_and_categorical(train, features)
     stats = {r["feature"]: r for r in preprocess_stats(train, features).collect()}  # one row per feature
+    # A feature with no observed value is dropped, as the median / most-frequent imputer does.
+    numeric = [c for c in numeric if stats[c]["median"] is not None]
+    categorical = [c for c in categorical if stats[c]["mode"] is not None]
     selects = []
     for c in numeric:
         s = stats[c]
@@ -123,6 +126,8 @@ def fit_preprocessor(train: DataFrame, features: Sequence[str]) -> tuple[Pipelin
         selects.append(f"(coalesce(CAST(`{c}` AS DOUBLE), {_sql_number(s['median'])}) - {_sql_number(s['mean'] or 0.0)}) / {_sql_number(std)} AS `{c}__num`")
     for c in categorical:
         selects.append(f"coalesce(CAST(`{c}` AS STRING), {_sql_text(stats[c]['mode'])}) AS `{c}__cat`")
+    if not selects:
+        raise ValueError("no feature has an observed value in the training rows")
     sql = SQLTransformer(statement="SELECT *, " + ", ".join(selects) + " FROM __THIS__")
     stages = [sql]
     outputs = [f"{c}__num" for c in numeric]

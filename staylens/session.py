@@ -1,4 +1,4 @@
-"""Session helpers: a tuned builder, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: a tuned builder and the shared checkpoint folder."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job relies on: AQE re-plans joins and partition counts at runtime,
 # skew-join splitting is on, and the session zone is UTC so timestamp arithmetic is
@@ -73,13 +72,3 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count check; larger inputs are left to AQE.
-
-    Use for side tables whose size is data dependent.  Tables with a bound by
-    construction (one-row aggregates, a fixed threshold grid) are broadcast directly.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
