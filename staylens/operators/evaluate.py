@@ -36,7 +36,10 @@ def score_counts(scored: DataFrame) -> DataFrame:
 def _curve(scored: DataFrame, **prefix_kw) -> DataFrame:
     """Per distinct score (descending): tp/fp at threshold ``score`` plus model totals."""
     vc = score_counts(scored)
-    pref = ordered_prefix(vc, ["model"], [OrderKey("y_score", ascending=False)], {"pos": "pos", "neg": "neg"}, **prefix_kw)
+    pref = ordered_prefix(
+        vc, ["model"], [OrderKey("y_score", ascending=False)], {"pos": "pos", "neg": "neg"},
+        sample_from=scored.select("model", "y_score"), **prefix_kw,
+    )
     totals = vc.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return pref.join(totals, on="model", how="inner").select(
         "model", "y_score", "pos", "neg", "n_pos", "n_neg", F.col("_pos").alias("rank_desc"),

@@ -131,6 +131,7 @@ def ordered_prefix(
     seed: int = DEFAULT_SEED,
     n_rows: int | None = None,
     row_bound: int | None = None,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_pos`` (1-based row position within the partition, in ``order_by`` order)
     and ``_cum_<name>`` (inclusive running sum) for each entry of ``sums``.
@@ -138,7 +139,9 @@ def ordered_prefix(
     Rows with equal order keys get distinct, arbitrary positions (ROWS semantics);
     make the order total, or pre-aggregate ties, when that matters.  ``row_bound`` (an
     upper bound on the rows, e.g. the count of the persisted input) replaces the count
-    job that otherwise sizes the buckets.
+    job that otherwise sizes the buckets.  ``sample_from`` (a relation with the same
+    partition and first-order-key columns, typically the persisted input that ``df`` was
+    aggregated from) is sampled for the boundaries instead of recomputing ``df``.
     """
     part = list(partition_by)
     keys = _keys(order_by)
@@ -157,7 +160,8 @@ def ordered_prefix(
         keyed = base.select("*", *gk).withColumn("_bk", key)
         frac = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
         cap = SAMPLE_PER_BUCKET * buckets * 2
-        sample = [r["_bk"] for r in keyed.select("_bk").sample(False, frac, seed).limit(cap).orderBy("_bk").collect()]
+        source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
+        sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(cap).orderBy("_bk").collect()]
         bounds = []
         for i in range(1, buckets):
             if not sample:
@@ -245,7 +249,8 @@ def exact_percentiles(
             *g, F.col("i").cast("int").alias("_pidx"), F.col("p").alias("percentile"), F.col("v").alias("value")
         )
     vc = df.where(v.isNotNull()).groupBy(*[F.col(c) for c in g], v.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    pref = ordered_prefix(vc, g, [OrderKey("_v")], {"w": "_w"}, **prefix_kw)
+    raw = df.where(v.isNotNull()).select(*[F.col(c) for c in g], v.alias("_v"))
+    pref = ordered_prefix(vc, g, [OrderKey("_v")], {"w": "_w"}, sample_from=raw, **prefix_kw)
     pref = pref.withColumn("_end", F.col("_cum_w") - 1).withColumn("_start", F.col("_cum_w") - F.col("_w"))
     totals = vc.groupBy(*g).agg(F.sum("_w").alias("_n")).where(F.col("_n") > 0)
     targets = F.array(
@@ -306,7 +311,8 @@ def value_ranks(df: DataFrame, value: str | Column, **prefix_kw) -> DataFrame:
     """
     v = col_of(value)
     vc = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    pref = ordered_prefix(vc, [], [OrderKey("_v", ascending=False)], {"w": "_w"}, **prefix_kw)
+    raw = df.where(v.isNotNull()).select(v.alias("_v"))
+    pref = ordered_prefix(vc, [], [OrderKey("_v", ascending=False)], {"w": "_w"}, sample_from=raw, **prefix_kw)
     total = vc.agg(F.sum("_w").alias("_n"))
     ranked = pref.crossJoin(F.broadcast(total))  # one-row global aggregate
     n_less = F.col("_n") - F.col("_cum_w")
