@@ -155,22 +155,9 @@ def ordered_prefix(
     running = (Window.unboundedPreceding, Window.currentRow)
 
     if buckets > 1:
-        gk = [F.struct(*[F.col(c) for c in part]).alias("_gk")] if part else []
-        key = F.struct(*([F.col("_gk")] if part else []), _numeric_key(df, keys[0]).alias("_k"))
-        keyed = base.select("*", *gk).withColumn("_bk", key)
-        frac = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
-        cap = SAMPLE_PER_BUCKET * buckets * 2
-        source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
-        sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(cap).orderBy("_bk").collect()]
-        bounds = []
-        for i in range(1, buckets):
-            if not sample:
-                break
-            b = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-            if not bounds or b != bounds[-1]:
-                bounds.append(b)
-        if bounds:
-            return _bucketed_prefix(df.sparkSession, keyed, bounds, part, order_cols, measures)
+        keyed = assign_buckets(base, part, keys[0], buckets, n, seed, sample_from)
+        if keyed is not None:
+            return _bucketed_prefix(keyed, part, order_cols, measures)
     window = Window.partitionBy(*part).orderBy(*order_cols)
     out = base.withColumn("_pos", F.row_number().over(window).cast("long"))
     for name in measures:
@@ -178,9 +165,40 @@ def ordered_prefix(
     return out.drop(*[f"_m_{name}" for name in measures])
 
 
-def _bucketed_prefix(spark, keyed, bounds, part, order_cols, measures) -> DataFrame:
-    key_type = keyed.schema["_bk"].dataType
-    bucketed = _bucket_lookup(spark, keyed, bounds, key_type).drop("_bk")
+def assign_buckets(
+    df: DataFrame,
+    part: Sequence[str],
+    first_key: OrderKey,
+    buckets: int,
+    n: int,
+    seed: int = DEFAULT_SEED,
+    sample_from: DataFrame | None = None,
+) -> DataFrame | None:
+    """Add ``_gk`` (struct of the partition columns, when any) and ``_bucket``.
+
+    The boundaries come from a seeded sample of at most ``2 * SAMPLE_PER_BUCKET * buckets``
+    keys collected once on the driver, so every task (and every recomputed task) assigns a
+    row to the same bucket.  Returns None when the sample yields no boundary."""
+    gk = [F.struct(*[F.col(c) for c in part]).alias("_gk")] if part else []
+    key = F.struct(*([F.col("_gk")] if part else []), _numeric_key(df, first_key).alias("_k"))
+    keyed = df.select("*", *gk).withColumn("_bk", key)
+    source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
+    frac = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
+    cap = SAMPLE_PER_BUCKET * buckets * 2
+    sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(cap).orderBy("_bk").collect()]
+    bounds = []
+    for i in range(1, buckets):
+        if not sample:
+            break
+        b = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    if not bounds:
+        return None
+    return _bucket_lookup(df.sparkSession, keyed, bounds, keyed.schema["_bk"].dataType).drop("_bk")
+
+
+def _bucketed_prefix(bucketed, part, order_cols, measures) -> DataFrame:
     group = ["_gk"] if part else []
     local_w = Window.partitionBy(*group, "_bucket").orderBy(*order_cols)
     local = bucketed.withColumn("_lpos", F.row_number().over(local_w).cast("long"))
@@ -215,15 +233,6 @@ def _bucketed_prefix(spark, keyed, bounds, part, order_cols, measures) -> DataFr
     return out.drop(*drop)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``on`` where NULL matches NULL (group keys keep a NULL group)."""
-    if not on:
-        return left.crossJoin(F.broadcast(right))  # right is a one-row global aggregate
-    l2 = left.withColumn("_jk", F.struct(*[F.col(c) for c in on]))
-    r2 = right.withColumn("_jk", F.struct(*[F.col(c) for c in on])).drop(*on)
-    return l2.join(r2, on="_jk", how=how).drop("_jk")
-
-
 def exact_percentiles(
     df: DataFrame,
     value: str | Column,
@@ -234,8 +243,10 @@ def exact_percentiles(
     """Exact PERCENTILE_CONT (linear interpolation) per group, long form.
 
     Returns ``group_by..., _pidx (int), percentile (double), value (double)``.  NULL
-    values are ignored; groups without values produce no rows.  Work per task is bounded
-    by the bucket size of :func:`ordered_prefix`, ties are counted, not sorted.
+    values are ignored; groups without values produce no rows.  Up to ``rows_per_bucket``
+    rows (a known ``row_bound`` or a count) Spark's exact ``percentile`` aggregate is used;
+    beyond that only the buckets holding the wanted ranks are sorted
+    (:func:`_bucketed_percentiles`).
     """
     g = list(group_by)
     v = col_of(value).cast("double")
@@ -248,38 +259,62 @@ def exact_percentiles(
         return agg.where(F.col("_vals").isNotNull()).select(*g, F.inline(rows)).select(
             *g, F.col("i").cast("int").alias("_pidx"), F.col("p").alias("percentile"), F.col("v").alias("value")
         )
-    vc = df.where(v.isNotNull()).groupBy(*[F.col(c) for c in g], v.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
     raw = df.where(v.isNotNull()).select(*[F.col(c) for c in g], v.alias("_v"))
-    pref = ordered_prefix(vc, g, [OrderKey("_v")], {"w": "_w"}, sample_from=raw, **prefix_kw)
-    pref = pref.withColumn("_end", F.col("_cum_w") - 1).withColumn("_start", F.col("_cum_w") - F.col("_w"))
-    totals = vc.groupBy(*g).agg(F.sum("_w").alias("_n")).where(F.col("_n") > 0)
+    n = row_bound if row_bound is not None else raw.count()
+    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
+    keyed = assign_buckets(raw, g, OrderKey("_v"), buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
+    if keyed is None:
+        # At most rows_per_bucket values (counted): the exact aggregate's map is bounded.
+        return exact_percentiles(df, value, probs, g, **{**prefix_kw, "row_bound": n, "rows_per_bucket": max(n, 1)})
+    return _bucketed_percentiles(keyed, g, probs)
+
+
+def _bucketed_percentiles(keyed: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
+    """Order statistics from the few buckets that hold them.
+
+    Per-bucket counts come from partial aggregation (at most groups + buckets rows);
+    their prefix sums locate, for every group and percentile, the bucket holding ranks
+    floor(h) and ceil(h).  Only rows of those buckets are kept (a join with that small
+    table) and sorted; the bulk of the data is scanned but never shuffled or sorted."""
+    gk = ["_gk"] if g else []
+    counts = keyed.groupBy(*gk, "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
+    wg = Window.partitionBy(*gk)
+    counts = counts.withColumns(
+        {
+            "_off": F.coalesce(F.sum("_bc").over(wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_n": F.sum("_bc").over(wg),
+        }
+    )
     targets = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(float(p)).alias("p"),
-                (F.lit(float(p)) * (F.col("_n") - F.lit(1)).cast("double")).alias("h"),
-            )
+            F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - F.lit(1)).cast("double")).alias("h"))
             for i, p in enumerate(probs)
         ]
     )
-    totals = totals.select(*g, targets.alias("_t"))
-    joined = _null_safe_join(pref.select(*g, "_v", "_start", "_end"), totals, g)
-
-    def inside(pos: Column) -> Column:
-        return (pos >= F.col("_start")) & (pos <= F.col("_end"))
-
-    hit = F.filter("_t", lambda t: inside(F.floor(t["h"])) | inside(F.ceil(t["h"])))
-    matched = joined.select(*g, "_v", "_start", "_end", F.explode(hit).alias("t"))
-    lo = F.floor(F.col("t.h"))
-    hi = F.ceil(F.col("t.h"))
-    agg = matched.groupBy(*g, F.col("t.i").alias("_pidx"), F.col("t.p").alias("percentile"), F.col("t.h").alias("_h")).agg(
-        F.max(F.when(inside(lo), F.col("_v"))).alias("_lo"),
-        F.max(F.when(inside(hi), F.col("_v"))).alias("_hi"),
+
+    def within(pos: Column, start: Column, end: Column) -> Column:
+        return (pos >= start) & (pos <= end)
+
+    first, last = F.col("_off"), F.col("_off") + F.col("_bc") - 1
+    wanted = counts.select(
+        *gk, "_bucket", "_off",
+        F.filter(targets, lambda t: within(F.floor(t["h"]), first, last) | within(F.ceil(t["h"]), first, last)).alias("_t"),
+    ).where(F.size("_t") > 0)  # at most 2 * len(probs) buckets per group
+    # Without groups `wanted` has at most 2 * len(probs) rows; with groups AQE sizes the join.
+    kept = keyed.join(wanted if g else F.broadcast(wanted), on=[*gk, "_bucket"], how="inner")
+    vc = kept.groupBy(*gk, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"), F.first("_off").alias("_off"), F.first("_t").alias("_t"))
+    local = Window.partitionBy(*gk, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = vc.withColumn("_end", F.col("_off") + F.sum("_w").over(local) - 1).withColumn("_start", F.col("_end") - F.col("_w") + 1)
+    hit = F.filter("_t", lambda t: within(F.floor(t["h"]), F.col("_start"), F.col("_end")) | within(F.ceil(t["h"]), F.col("_start"), F.col("_end")))
+    matched = vc.select(*gk, "_v", "_start", "_end", F.explode(hit).alias("t"))
+    lo, hi = F.floor(F.col("t.h")), F.ceil(F.col("t.h"))
+    agg = matched.groupBy(*gk, F.col("t.i").alias("_pidx"), F.col("t.p").alias("percentile"), F.col("t.h").alias("_h")).agg(
+        F.max(F.when(within(lo, F.col("_start"), F.col("_end")), F.col("_v"))).alias("_lo"),
+        F.max(F.when(within(hi, F.col("_start"), F.col("_end")), F.col("_v"))).alias("_hi"),
     )
     frac = F.col("_h") - F.floor(F.col("_h"))
     return agg.select(
-        *g,
+        *[F.col(f"_gk.{c}").alias(c) for c in g],
         F.col("_pidx").cast("int").alias("_pidx"),
         "percentile",
         (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"),

@@ -90,3 +90,13 @@ def test_row_order_does_not_matter(data):
     b = exact_percentiles(data.repartition(7).orderBy(F.rand(3)), "v", [0.5, 0.9], ["g"], rows_per_bucket=50).collect()
     key = lambda r: (r["g"], r["_pidx"])
     assert sorted(a, key=key) == sorted(b, key=key)
+
+
+def test_percentiles_extreme_ties(spark):
+    rows = [(0, 5.0)] * 900 + [(1, float(i % 7)) for i in range(300)] + [(2, 1.0)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    got = {(r["g"], r["percentile"]): r["value"] for r in exact_percentiles(df, "v", [0.0, 0.5, 0.9, 1.0], ["g"], rows_per_bucket=50).collect()}
+    pdf = df.toPandas()
+    for (g, p), val in got.items():
+        assert val == pytest.approx(float(np.percentile(pdf.loc[pdf.g == g, "v"], p * 100)))
+    assert len(got) == 12
