@@ -360,6 +360,55 @@ def value_ranks(df: DataFrame, value: str | Column, **prefix_kw) -> DataFrame:
     )
 
 
+def top_value_ranks(
+    df: DataFrame,
+    value: str | Column,
+    top_n: int,
+    min_percent_rank: float,
+    **prefix_kw,
+) -> DataFrame:
+    """:func:`value_ranks` restricted to a superset of the values with
+    ``dense_rank_desc <= top_n`` or ``percent_rank >= min_percent_rank``.
+
+    At scale the rows are bucketed in descending order.  Every non-empty bucket holds a
+    distinct value, so the top ``top_n`` dense ranks lie in the first ``top_n`` buckets;
+    a bucket can hold a qualifying percent rank only if the rows before it number at most
+    ``(1 - min_percent_rank) * (n - 1)``.  Those buckets form a prefix; only their rows are
+    aggregated and ranked, with exact offsets from per-bucket counts."""
+    v = col_of(value)
+    raw = df.where(v.isNotNull()).select(v.cast("double").alias("_v"))
+    row_bound = prefix_kw.get("row_bound")
+    n = row_bound if row_bound is not None else raw.count()
+    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
+    keyed = assign_buckets(raw, [], OrderKey("_v", ascending=False), buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
+    if keyed is None:
+        return value_ranks(df, value, **{**prefix_kw, "n_rows": n})
+    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bc"))  # <= buckets rows
+    order = Window.orderBy("_bucket")
+    counts = counts.select(
+        "_bucket",
+        F.row_number().over(order).alias("_bidx"),
+        F.coalesce(F.sum("_bc").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_roff"),
+        F.sum("_bc").over(Window.partitionBy()).alias("_n"),
+    )
+    slack = F.lit(1.0 - float(min_percent_rank)) * (F.col("_n") - 1).cast("double")
+    wanted = counts.where((F.col("_bidx") <= F.lit(top_n)) | (F.col("_roff").cast("double") <= slack))
+    kept = keyed.join(F.broadcast(wanted), on="_bucket", how="inner")  # <= buckets rows
+    vc = kept.groupBy("_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"), F.first("_roff").alias("_roff"), F.first("_n").alias("_n"))
+    distinct_per = vc.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bd"))
+    doff = distinct_per.select("_bucket", F.coalesce(F.sum("_bd").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_doff"))
+    vc = vc.join(F.broadcast(doff), on="_bucket", how="inner")  # <= buckets rows
+    local = Window.partitionBy("_bucket").orderBy(F.col("_v").desc())
+    vc = vc.withColumns(
+        {
+            "dense_rank_desc": F.col("_doff") + F.row_number().over(local),
+            "n_at_or_above": F.col("_roff") + F.sum("_w").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
+    pct = F.when(F.col("_n") > 1, (F.col("_n") - F.col("n_at_or_above")).cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
+    return vc.select("_v", F.col("dense_rank_desc").cast("long").alias("dense_rank_desc"), pct.alias("percent_rank"), "n_at_or_above")
+
+
 def lead_within(
     df: DataFrame,
     partition_by: Iterable[str],

@@ -1,7 +1,8 @@
 """Long-stay outlier review: rows whose LOS has global DENSE_RANK (descending) <= N or
 PERCENT_RANK (ascending) >= r, with both ranks, the p90 threshold and both labels.
 
-Ranks come from distinct values ordered in buckets (no single-partition window).  The
+Ranks come from distinct values ordered in buckets (no single-partition window), and at
+scale only the prefix of buckets that can hold qualifying values is ranked.  The
 qualifying values form a prefix of the descending order, so the cohort is first
 filtered by the smallest qualifying value and only those rows are joined to ranks."""
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from staylens import config as C
 from staylens.functions.columns import fixed_day_label, percentile_label
 from staylens.operators.labels import percentile_threshold, with_threshold
-from staylens.operators.ordered import value_ranks
+from staylens.operators.ordered import top_value_ranks
 
 
 def long_stay_outlier_review(
@@ -26,7 +27,7 @@ def long_stay_outlier_review(
     **prefix_kw,
 ) -> DataFrame:
     los = F.col(los_col)
-    ranks = value_ranks(cohort, los_col, **prefix_kw)
+    ranks = top_value_ranks(cohort, los_col, top_n, min_percent_rank, **prefix_kw)
     keep = ranks.where((F.col("dense_rank_desc") <= F.lit(top_n)) | (F.col("percent_rank") >= F.lit(float(min_percent_rank))))
     cut = keep.agg(F.min("_v").alias("_cut"))  # one row
     top = with_threshold(cohort, cut).where(los >= F.col("_cut")).drop("_cut")

@@ -100,3 +100,32 @@ def test_percentiles_extreme_ties(spark):
     for (g, p), val in got.items():
         assert val == pytest.approx(float(np.percentile(pdf.loc[pdf.g == g, "v"], p * 100)))
     assert len(got) == 12
+
+
+@pytest.mark.parametrize("per", [20, 100000])
+def test_top_value_ranks(data, per):
+    from staylens.operators.ordered import top_value_ranks
+
+    full = {r["_v"]: (r["dense_rank_desc"], r["percent_rank"]) for r in value_ranks(data, "v").collect()}
+    top = {r["_v"]: (r["dense_rank_desc"], r["percent_rank"]) for r in top_value_ranks(data, "v", 10, 0.95, rows_per_bucket=per).collect()}
+    qualifying = {v for v, (d, p) in full.items() if d <= 10 or p >= 0.95}
+    assert qualifying <= set(top)
+    for v in top:
+        assert top[v][0] == full[v][0] and top[v][1] == pytest.approx(full[v][1])
+
+
+def test_outlier_review_bucketed_equals_plain(spark):
+    import numpy as np
+
+    from staylens.operators.outliers import long_stay_outlier_review
+
+    rng = np.random.default_rng(9)
+    los = np.round(rng.gamma(2.0, 3.0, 2000), 2)
+    rows = [(i, float(x)) for i, x in enumerate(los)]
+    df = spark.createDataFrame(rows, "hadm_id long, los_days double")
+    a = sorted(map(tuple, long_stay_outlier_review(df, top_n=15, min_percent_rank=0.98, rows_per_bucket=40).collect()))
+    b = sorted(map(tuple, long_stay_outlier_review(df, top_n=15, min_percent_rank=0.98).collect()))
+    assert len(a) == len(b) and len(a) >= 40
+    for x, y in zip(a, b):
+        assert x[0] == y[0] and x[3:6] == y[3:6]
+        assert x[1:3] + x[6:] == pytest.approx(y[1:3] + y[6:], rel=1e-12)
