@@ -4,17 +4,18 @@ PERCENT_RANK (ascending) >= r, with both ranks, the p90 threshold and both label
 Ranks come from distinct values ordered in buckets (no single-partition window), and at
 scale only the prefix of buckets that can hold qualifying values is ranked.  The
 qualifying values form a prefix of the descending order, so the cohort is first
-filtered by the smallest qualifying value and only those rows are joined to ranks."""
+filtered by the smallest qualifying value and only those rows are joined to ranks.  For an
+input known to hold at most ``rows_per_bucket`` rows one global window ranks the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens import config as C
 from staylens.functions.columns import fixed_day_label, percentile_label
 from staylens.operators.labels import percentile_threshold, with_threshold
-from staylens.operators.ordered import top_value_ranks
+from staylens.operators.ordered import ROWS_PER_BUCKET, top_value_ranks
 
 
 def long_stay_outlier_review(
@@ -27,12 +28,39 @@ def long_stay_outlier_review(
     **prefix_kw,
 ) -> DataFrame:
     los = F.col(los_col)
+    row_bound = prefix_kw.get("row_bound")
+    if row_bound is not None and row_bound <= (prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET):
+        return _review_small(cohort, top_n, min_percent_rank, los_col, fixed_day_threshold, percentile, **prefix_kw)
     ranks = top_value_ranks(cohort, los_col, top_n, min_percent_rank, **prefix_kw)
     keep = ranks.where((F.col("dense_rank_desc") <= F.lit(top_n)) | (F.col("percent_rank") >= F.lit(float(min_percent_rank))))
     cut = keep.agg(F.min("_v").alias("_cut"))  # one row
     top = with_threshold(cohort, cut).where(los >= F.col("_cut")).drop("_cut")
     rows = top.join(keep.select(F.col("_v").alias(los_col), "dense_rank_desc", "percent_rank"), on=los_col, how="inner")
     rows = with_threshold(rows, percentile_threshold(cohort, los_col, percentile, "p90_los_days", **prefix_kw))
+    return _finish(rows, cohort, los_col, fixed_day_threshold)
+
+
+def _review_small(cohort, top_n, min_percent_rank, los_col, fixed_day_threshold, percentile, **prefix_kw) -> DataFrame:
+    """Known input of at most ``rows_per_bucket`` rows: one descending window gives the dense
+    rank and, with a RANGE frame, the rows at or above each value (ties included)."""
+    los = F.col(los_col)
+    w = Window.orderBy(los.desc())
+    ranked = cohort.where(los.isNotNull()).withColumns(
+        {
+            "dense_rank_desc": F.dense_rank().over(w),
+            "_ge": F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_n": F.count(F.lit(1)).over(Window.partitionBy()),
+        }
+    )
+    pct = F.when(F.col("_n") > 1, (F.col("_n") - F.col("_ge")).cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
+    ranked = ranked.withColumn("percent_rank", pct)
+    rows = ranked.where((F.col("dense_rank_desc") <= F.lit(top_n)) | (F.col("percent_rank") >= F.lit(float(min_percent_rank))))
+    rows = with_threshold(rows, percentile_threshold(cohort, los_col, percentile, "p90_los_days", **prefix_kw))
+    return _finish(rows, cohort, los_col, fixed_day_threshold)
+
+
+def _finish(rows: DataFrame, cohort: DataFrame, los_col: str, fixed_day_threshold: float) -> DataFrame:
+    los = F.col(los_col)
     cohort_cols = [c for c in C.COHORT_COLUMNS if c in cohort.columns]
     return rows.select(
         *cohort_cols,

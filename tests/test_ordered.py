@@ -125,7 +125,8 @@ def test_outlier_review_bucketed_equals_plain(spark):
     df = spark.createDataFrame(rows, "hadm_id long, los_days double")
     a = sorted(map(tuple, long_stay_outlier_review(df, top_n=15, min_percent_rank=0.98, rows_per_bucket=40).collect()))
     b = sorted(map(tuple, long_stay_outlier_review(df, top_n=15, min_percent_rank=0.98).collect()))
-    assert len(a) == len(b) and len(a) >= 40
-    for x, y in zip(a, b):
+    c = sorted(map(tuple, long_stay_outlier_review(df, top_n=15, min_percent_rank=0.98, row_bound=2000).collect()))
+    assert len(a) == len(b) == len(c) and len(a) >= 40
+    for x, y in list(zip(a, b)) + list(zip(c, b)):
         assert x[0] == y[0] and x[3:6] == y[3:6]
         assert x[1:3] + x[6:] == pytest.approx(y[1:3] + y[6:], rel=1e-12)
