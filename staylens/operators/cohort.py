@@ -90,7 +90,7 @@ def derive_stay_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
-def valid_stay(df_cols: Sequence[str] | None = None) -> Column:
+def valid_stay() -> Column:
     return (
         F.col("admittime").isNotNull()
         & F.col("dischtime").isNotNull()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens import config as C
-from staylens.functions.columns import fixed_day_label, share, unknown_if_null
+from staylens.functions.columns import share, unknown_if_null
 from staylens.operators.labels import percentile_threshold, with_threshold
 from staylens.operators.ordered import exact_percentiles, percentile_columns
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from staylens import config as C
 
-D = "DOUBLE"
 
 # --- adapter relations (shared with the Spark adapter; see FIXTURES.md) ---------------
 ADAPTER = """
