@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens import config as C
-from staylens.operators.ordered import OrderKey, ordered_prefix, percentile_columns
+from staylens.operators.ordered import OrderKey, assign_buckets, ordered_prefix, percentile_columns, plan_buckets
 
 LABEL = "target_long_stay"
 
@@ -51,11 +51,35 @@ def stratified_split(
     alloc = alloc.withColumn("_rk", F.row_number().over(Window.orderBy(F.desc(F.col("_cont") - F.col("_fl")), F.col("_y"))))
     alloc = alloc.select("_y", (F.col("_nc") - (F.col("_fl") + F.when(F.col("_rk") <= F.col("_need"), 1).otherwise(0))).alias("_test_c"))
     keyed = df.withColumn("_y", y).withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
-    pos = ordered_prefix(keyed, ["_y"], [OrderKey("_h"), OrderKey(id_col)], **prefix_kw)
-    out = pos.join(F.broadcast(alloc), on="_y", how="left")  # one row per class label
-    return out.withColumn("split", F.when(F.col("_pos") <= F.col("_test_c"), F.lit("test")).otherwise(F.lit("train"))).drop(
-        "_y", "_h", "_pos", "_test_c"
-    )
+    row_bound = prefix_kw.get("row_bound")
+    n = row_bound if row_bound is not None else keyed.count()
+    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
+    bucketed = assign_buckets(keyed, ["_y"], OrderKey("_h"), buckets, n, prefix_kw.get("seed", 17)) if buckets > 1 else None
+    if bucketed is None:
+        pos = ordered_prefix(keyed, ["_y"], [OrderKey("_h"), OrderKey(id_col)], **{**prefix_kw, "n_rows": n})
+        out = pos.join(F.broadcast(alloc), on="_y", how="left")  # one row per class label
+        return out.withColumn("split", F.when(F.col("_pos") <= F.col("_test_c"), F.lit("test")).otherwise(F.lit("train"))).drop(
+            "_y", "_h", "_pos", "_test_c"
+        )
+    cut = _test_cutoffs(bucketed, alloc, id_col)
+    out = keyed.join(F.broadcast(cut), on="_y", how="left")  # one row per class label
+    is_test = F.coalesce(F.struct(F.col("_h"), F.col(id_col)) <= F.col("_cut"), F.lit(False))
+    return out.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop("_y", "_h", "_cut")
+
+
+def _test_cutoffs(bucketed: DataFrame, alloc: DataFrame, id_col: str) -> DataFrame:
+    """Per class, the (hash, id) of its ``_test_c``-th row in hash order: per-bucket counts
+    locate the one bucket holding that rank and only that bucket is sorted."""
+    counts = bucketed.groupBy("_gk", "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
+    before = Window.partitionBy("_gk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_off", F.coalesce(F.sum("_bc").over(before), F.lit(0))).withColumn("_y", F.col("_gk._y"))
+    target = counts.join(F.broadcast(alloc), on="_y").where(
+        (F.col("_test_c") > F.col("_off")) & (F.col("_test_c") <= F.col("_off") + F.col("_bc"))
+    )  # one bucket per class with test rows
+    rows = bucketed.join(F.broadcast(target.select("_gk", "_bucket", "_off", "_test_c")), on=["_gk", "_bucket"], how="inner")
+    local = Window.partitionBy("_gk", "_bucket").orderBy(F.col("_h"), F.col(id_col))
+    rows = rows.withColumn("_pos", F.col("_off") + F.row_number().over(local))
+    return rows.where(F.col("_pos") == F.col("_test_c")).select(F.col("_gk._y").alias("_y"), F.struct(F.col("_h"), F.col(id_col)).alias("_cut"))
 
 
 def split_counts(split_df: DataFrame, label_col: str = LABEL) -> DataFrame:

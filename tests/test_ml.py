@@ -83,3 +83,9 @@ def test_permutation_importance_finds_signal(spark, planted):
     imp = {r["feature"]: r for r in M.permutation_importance(model, test, ["age_at_admit", "admission_type"], n_repeats=3).collect()}
     assert set(imp) == {"age_at_admit", "admission_type"}
     assert max(r["importance_mean"] for r in imp.values()) > 0
+
+
+def test_split_at_scale_equals_small_path(planted):
+    small = {r["hadm_id"]: r["split"] for r in M.stratified_split(planted).select("hadm_id", "split").collect()}
+    big = {r["hadm_id"]: r["split"] for r in M.stratified_split(planted, rows_per_bucket=300).select("hadm_id", "split").collect()}
+    assert small == big
