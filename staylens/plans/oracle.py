@@ -227,7 +227,7 @@ def _with(*parts: str) -> str:
 
 
 def _r(expr: str, alias: str) -> str:
-    return f"ROUND({expr}, 6) AS {alias}"
+    return f"(ROUND({expr}, 6) + 0.0) AS {alias}"
 
 
 BASE = _with(ADAPTER, COHORTS)
@@ -248,8 +248,8 @@ def _linspace_sql(n_bins: int = 10) -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["cohort_sql"] = BASE + f"SELECT * REPLACE (ROUND(los_days, 6) AS los_days) FROM cohort_sql ORDER BY admittime, hadm_id"
-SQL["cohort_py"] = BASE + "SELECT * REPLACE (ROUND(los_days, 6) AS los_days) FROM cohort_py"
+SQL["cohort_sql"] = BASE + f"SELECT * REPLACE ({_r('los_days', 'los_days')}) FROM cohort_sql ORDER BY admittime, hadm_id"
+SQL["cohort_py"] = BASE + f"SELECT * REPLACE ({_r('los_days', 'los_days')}) FROM cohort_py"
 SQL["normalized_categories"] = BASE + "SELECT hadm_id, gender, race, insurance, marital_status, admission_type, language, admission_location FROM cohort_clean"
 
 SQL["los_overall"] = BASE + f"""
@@ -328,7 +328,7 @@ ranked AS (
          CASE WHEN c.los_days >= t.p90_los_days THEN 1 ELSE 0 END AS is_long_stay_gte_p90
   FROM cohort_sql c CROSS JOIN t
 )
-SELECT {COHORT_COLS.replace('los_days', 'ROUND(los_days, 6) AS los_days')}, {_r('p90_los_days', 'p90_los_days')},
+SELECT {COHORT_COLS.replace('los_days', _r('los_days', 'los_days'))}, {_r('p90_los_days', 'p90_los_days')},
        is_long_stay_gt_7d, is_long_stay_gte_p90, CAST(los_dense_rank AS BIGINT) AS los_dense_rank, {_r('los_percent_rank', 'los_percent_rank')}
 FROM ranked WHERE los_dense_rank <= 100 OR los_percent_rank >= 0.99
 ORDER BY los_days DESC, hadm_id"""

@@ -46,8 +46,8 @@ FIXTURE_POLICY_MODEL = "score_rule"
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Round double columns to 6 places for comparison."""
-    exprs = {f.name: F.round(F.col(f.name), 6) for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    """Round double columns to 6 places for comparison (+ 0.0 turns -0.0 into 0.0)."""
+    exprs = {f.name: F.round(F.col(f.name), 6) + F.lit(0.0) for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return df.withColumns(exprs) if exprs else df
 
 
