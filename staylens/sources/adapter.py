@@ -23,8 +23,16 @@ NEGATIVE_EVERY = 100
 NEGATIVE_ID_SHIFT = 1_000_000_000
 
 
+# Schemas of the driver tables the adapter reads (given, so no inference job runs).
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(DRIVER_SCHEMAS[name]) if name in DRIVER_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(c, mapping: dict[int, str], modulus: int):
