@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def save_dataframe(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write ``df`` as CSV (with header) or Parquet chosen by the path suffix.
@@ -13,7 +15,14 @@ def save_dataframe(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     Spark writes a folder of part files under ``path``; nothing is funnelled through one
     task.  Any other suffix is an error."""
     if path.endswith(".csv"):
-        df.write.mode(mode).option("header", True).csv(path)
+        # Full microsecond timestamps (the CSV default keeps milliseconds only).
+        (
+            df.write.mode(mode)
+            .option("header", True)
+            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+            .option("timestampFormat", TIMESTAMP_FORMAT)
+            .csv(path)
+        )
     elif path.endswith(".parquet"):
         df.write.mode(mode).parquet(path)
     else:

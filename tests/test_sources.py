@@ -82,3 +82,15 @@ def test_missing_bundle_is_none(spark, tmp_dir):
     from staylens.sources.artifacts import load_model_bundle
 
     assert load_model_bundle(spark, os.path.join(tmp_dir, "absent")) is None
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_cohort_round_trip(spark, tmp_dir, fmt):
+    from staylens.plans.fixtures import cohort_sql
+
+    cohort = cohort_sql(spark, "/root/testdata/sf0.001")
+    path = sinks.save_dataframe(cohort, os.path.join(tmp_dir, f"cohort_base.{fmt}"))
+    back = tables.load_cohort(spark, path)
+    cols = ["hadm_id", "admittime", "dischtime", "los_days", "age_at_admit", "insurance"]
+    norm = lambda rows: sorted((r[0], r[1], r[2], round(r[3], 9), r[4], r[5]) for r in rows)
+    assert norm(back.select(*cols).collect()) == norm(cohort.select(*cols).collect())
