@@ -301,8 +301,10 @@ def _bucketed_percentiles(keyed: DataFrame, g: list[str], probs: Sequence[float]
         F.filter(targets, lambda t: within(F.floor(t["h"]), first, last) | within(F.ceil(t["h"]), first, last)).alias("_t"),
     ).where(F.size("_t") > 0)  # at most 2 * len(probs) buckets per group
     # Without groups `wanted` has at most 2 * len(probs) rows; with groups AQE sizes the join.
-    kept = keyed.join(wanted if g else F.broadcast(wanted), on=[*gk, "_bucket"], how="inner")
-    vc = kept.groupBy(*gk, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"), F.first("_off").alias("_off"), F.first("_t").alias("_t"))
+    small = wanted if g else F.broadcast(wanted)
+    kept = keyed.join(small.select(*gk, "_bucket"), on=[*gk, "_bucket"], how="left_semi")
+    vc = kept.groupBy(*gk, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"))  # ties counted before the shuffle
+    vc = vc.join(small, on=[*gk, "_bucket"], how="inner")
     local = Window.partitionBy(*gk, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("_end", F.col("_off") + F.sum("_w").over(local) - 1).withColumn("_start", F.col("_end") - F.col("_w") + 1)
     hit = F.filter("_t", lambda t: within(F.floor(t["h"]), F.col("_start"), F.col("_end")) | within(F.ceil(t["h"]), F.col("_start"), F.col("_end")))
