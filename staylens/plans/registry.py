@@ -30,7 +30,7 @@ from staylens.operators.ml import (
     train_model,
 )
 from staylens.operators.outliers import long_stay_outlier_review
-from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy
+from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy, score_admissions
 from staylens.plans import fixtures as X
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -421,3 +421,17 @@ def q_permutation_importance(spark, sf):
     train, test, safe, kw = _train_test(spark, sf)
     model = train_model(train, safe, "logistic_regression")
     return permutation_importance(model, test, safe, n_repeats=20, top_n=20, **kw)
+
+
+@query("model_risk_scoring")
+def q_model_risk_scoring(spark, sf):
+    """R3 + R5 + R4 with a model: logistic regression trained on the train split, its test
+    scores tuned into a policy, then the whole cohort scored with class and tier."""
+    train, test, safe, kw = _train_test(spark, sf)
+    model = train_model(train, safe, "logistic_regression")
+    tuning = E.threshold_tuning(predict_scores(model, test, "logistic_regression"))
+    marked = E.mark_selected_thresholds(tuning, E.select_operating_thresholds(tuning))
+    policy = resolve_policy(spark, marked, {"primary_model_name": "logistic_regression"})
+    featured, _ = X.modeling_dataset(spark, sf)
+    scored = score_admissions(featured, policy, model=model, feature_columns=safe)
+    return scored.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")
