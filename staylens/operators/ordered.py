@@ -37,6 +37,7 @@ from staylens.functions.columns import col_of
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 65_536
 SAMPLE_PER_BUCKET = 32
+MAX_SAMPLE = 1_000_000  # keys collected for the boundaries, at most (as Spark's range partitioner)
 SINGLE_LEVEL_MAX = 128
 DEFAULT_SEED = 17
 
@@ -176,16 +177,16 @@ def assign_buckets(
 ) -> DataFrame | None:
     """Add ``_gk`` (struct of the partition columns, when any) and ``_bucket``.
 
-    The boundaries come from a seeded sample of at most ``2 * SAMPLE_PER_BUCKET * buckets``
-    keys collected once on the driver, so every task (and every recomputed task) assigns a
+    The boundaries come from a seeded sample of at most ``2 * min(SAMPLE_PER_BUCKET * buckets,
+    MAX_SAMPLE)`` keys collected once on the driver, so every task (and every recomputed task) assigns a
     row to the same bucket.  Returns None when the sample yields no boundary."""
     gk = [F.struct(*[F.col(c) for c in part]).alias("_gk")] if part else []
     key = F.struct(*([F.col("_gk")] if part else []), _numeric_key(df, first_key).alias("_k"))
     keyed = df.select("*", *gk).withColumn("_bk", key)
     source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
-    frac = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
-    cap = SAMPLE_PER_BUCKET * buckets * 2
-    sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(cap).orderBy("_bk").collect()]
+    wanted = min(SAMPLE_PER_BUCKET * buckets, MAX_SAMPLE)
+    frac = min(1.0, wanted / max(n, 1))
+    sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(2 * wanted).orderBy("_bk").collect()]
     bounds = []
     for i in range(1, buckets):
         if not sample:
