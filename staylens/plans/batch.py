@@ -8,7 +8,8 @@ plan written straight to the output folder.
 Usage::
 
     python -m staylens.plans.batch --admissions <path> --patients <path> --out <folder>
-    python -m staylens.plans.batch --driver-tables /root/testdata/sf0.01 --out <folder>
+    python -m staylens.plans.batch --driver-tables /root/testdata/sf0.01 --out <folder> \
+        --master local[8] --driver-memory 16g
 """
 
 from __future__ import annotations
@@ -127,8 +128,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--boost-rounds", type=int, default=300)
     ap.add_argument("--permutation-repeats", type=int, default=20)
     ap.add_argument("--no-boosted", action="store_true")
+    ap.add_argument("--master", help="e.g. local[8]; on a cluster the submit settings apply")
+    ap.add_argument("--driver-memory", help="driver heap for a local session, e.g. 16g")
     args = ap.parse_args(argv)
-    spark = build_session()
+    extra = {"spark.driver.memory": args.driver_memory} if args.driver_memory else None
+    spark = build_session(master=args.master, extra=extra)
     if args.driver_tables:
         adm, pat = adapter_relations(spark, args.driver_tables)
     else:
