@@ -20,6 +20,15 @@ in buckets instead:
 Callers that need ties kept together (RANGE semantics, ranks, curves) pre-aggregate to
 one row per distinct key first, which also shrinks heavy ties before the shuffle.
 NaN order keys are expected to be NULL already (inputs convert NaN at ingest).
+
+Operations that need only a few ranks do less: :func:`exact_percentiles` and
+:func:`top_value_ranks` bucket the raw rows the same way, count rows per bucket by
+partial aggregation, and sort only the buckets that hold the wanted ranks (the bucket of
+rank ``floor(p (n - 1))`` / ``ceil(...)``, or the leading buckets of a descending order).
+
+Below ``rows_per_bucket`` rows (a caller-supplied ``row_bound`` or a count) the plain
+window, or Spark's exact ``percentile`` aggregate, is used: their memory is bounded by that
+row count.
 """
 
 from __future__ import annotations
