@@ -16,6 +16,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files in the shared folder are removed once their data is unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Call-site capture for DataFrame error messages costs a JVM round trip per Column
