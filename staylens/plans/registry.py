@@ -360,7 +360,7 @@ def q_heuristic(spark, sf):
 def q_risk_tier(spark, sf):
     """R4 + R5 + R7: heuristic score, thresholds from the marked tuning table, tier."""
     cohort = X.cohort_sql(spark, sf)
-    tuning = E.threshold_tuning(X.reused(X.scored_relation(cohort)))
+    tuning = X.reused(E.threshold_tuning(X.scored_relation(cohort)))  # 19 rows per model, read twice
     marked = E.mark_selected_thresholds(tuning, E.select_operating_thresholds(tuning))
     policy = resolve_policy(spark, marked, model=FIXTURE_POLICY_MODEL)
     scored = add_heuristic_score(cohort)
