@@ -115,8 +115,9 @@ def build_cohort_sql(admissions: DataFrame, patients: DataFrame | None = None) -
 def build_cohort_python(admissions: DataFrame, patients: DataFrame) -> DataFrame:
     merged = derive_stay_columns(merge_admissions_patients(admissions, patients))
     present = merged.where(F.col("hadm_id").isNotNull() & F.col("admittime").isNotNull() & F.col("dischtime").isNotNull())
+    # Patient columns need no tie-break: one demographic row per subject_id (a sort key).
     order = _asc_last(("admittime", "dischtime", "subject_id"), present.columns)
-    order += _asc_last(ADMISSION_TIEBREAK + PATIENT_TIEBREAK, present.columns)
+    order += _asc_last(ADMISSION_TIEBREAK, present.columns)
     first = keep_first(present, ["hadm_id"], order)
     return select_cohort_columns(first.where(F.col("los_days") > 0))
 
