@@ -197,9 +197,11 @@ def train_model(
     seed: int = C.DEFAULT_SEED,
     num_trees: int = 400,
     boost_rounds: int = 300,
+    preprocessor: PipelineModel | None = None,
 ) -> PipelineModel:
-    """kind: logistic_regression | random_forest | gradient_boosted_trees."""
-    pre, _ = fit_preprocessor(train, features)
+    """kind: logistic_regression | random_forest | gradient_boosted_trees.  A fitted
+    ``preprocessor`` (from :func:`fit_preprocessor` on the same rows) is reused if given."""
+    pre = preprocessor if preprocessor is not None else fit_preprocessor(train, features)[0]
     scheme = "pos_ratio" if kind == "gradient_boosted_trees" else "balanced"
     weighted = _with_weights(train, label_col, scheme).withColumn(label_col, F.col(label_col).cast("double"))
     prepared = pre.transform(weighted).select("features", label_col, "weight").cache()
@@ -246,7 +248,8 @@ def run_baseline_model_suite(
 ) -> tuple[dict[str, PipelineModel], DataFrame, str]:
     """Models by name, one long scored table over the test rows, boosted-model status."""
     kinds = ["logistic_regression", "random_forest"] + (["gradient_boosted_trees"] if include_boosted else [])
-    models = {k: train_model(train, features, k, label_col, seed, num_trees, boost_rounds) for k in kinds}
+    pre, _ = fit_preprocessor(train, features)  # one fit of the shared preprocessing
+    models = {k: train_model(train, features, k, label_col, seed, num_trees, boost_rounds, pre) for k in kinds}
     scored = None
     for name, m in models.items():
         part = predict_scores(m, test, name, label_col)
