@@ -431,19 +431,57 @@ def lead_within(
     **prefix_kw,
 ) -> DataFrame:
     """``LEAD(value, offset) OVER (PARTITION BY ... ORDER BY ...)`` without putting a
-    hot partition in one task: positions from :func:`ordered_prefix`, then an equi-join
-    on (group, position + offset), a key that is unique per row and so never skewed.
-    """
+    hot partition in one task.
+
+    Rows are bucketed as in :func:`ordered_prefix` and the window runs per (group,
+    bucket).  Only the last ``offset`` rows of a bucket whose group continues in a later
+    bucket need a value from elsewhere: the first ``offset`` rows of each later bucket of
+    the group.  At most ``buckets - 1`` (group, bucket) pairs are continued, so both
+    boundary tables hold at most ``offset * (buckets - 1)`` rows; they are cut with
+    ``row_number() <= offset`` (limited before their shuffle) and the fix-up is broadcast
+    onto the main window by (group, bucket, local position).  The raw rows are shuffled
+    once."""
     part = list(partition_by)
     keys = _keys(order_by)
-    n = df.count()
-    if plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets")) <= 1:
-        w = Window.partitionBy(*part).orderBy(*[k.sort_col() for k in keys])
+    n = prefix_kw.get("row_bound")
+    n = df.count() if n is None else n
+    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
+    order_cols = [k.sort_col() for k in keys]
+    keyed = assign_buckets(df, part, keys[0], buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
+    if keyed is None:
+        w = Window.partitionBy(*part).orderBy(*order_cols)
         return df.withColumn(out_col, F.lead(F.col(value), offset).over(w))
-    pos = ordered_prefix(df, part, keys, n_rows=n, **prefix_kw)
-    pos = pos.withColumn("_jk", F.struct(*[F.col(c) for c in part], F.col("_pos")))
-    right = pos.select(
-        F.struct(*[F.col(c) for c in part], (F.col("_pos") - F.lit(offset)).alias("_pos")).alias("_jk"),
-        F.col(value).alias(out_col),
+    grp = ["_gk"] if part else []
+    on = [*grp, "_bucket"]
+    local_w = Window.partitionBy(*grp, "_bucket").orderBy(*order_cols)
+    local = keyed.withColumns({"_lpos": F.row_number().over(local_w).cast("long"), out_col: F.lead(F.col(value), offset).over(local_w)})
+    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_bc"))  # <= groups + buckets rows
+    by_group = Window.partitionBy(*grp).orderBy("_bucket")
+    counts = counts.withColumns(
+        {
+            "_off": F.coalesce(F.sum("_bc").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_more": F.lead("_bucket").over(by_group).isNotNull(),
+        }
     )
-    return pos.join(right, on="_jk", how="left").drop("_jk", "_pos")
+    # A group crosses each bucket boundary at most once: <= buckets - 1 pairs in each table.
+    continued = F.broadcast(counts.where(F.col("_more")).select(*on, "_off", "_bc"))
+    preceded = F.broadcast(counts.where(F.col("_off") > 0).select(*on, "_off"))
+    # First / last `offset` rows of those buckets; row_number() <= k is limited before the shuffle.
+    desc_cols = [k.sort_col() for k in _reversed(keys)]
+    tails = keyed.join(continued, on=on, how="inner").withColumn(
+        "_rd", F.row_number().over(Window.partitionBy(*on).orderBy(*desc_cols))
+    ).where(F.col("_rd") <= F.lit(offset))
+    tails = tails.select(*on, (F.col("_bc") - F.col("_rd") + 1).alias("_lpos"), (F.col("_off") + F.col("_bc") - F.col("_rd") + 1 + F.lit(offset)).alias("_tpos"))
+    heads = keyed.join(preceded, on=on, how="inner").withColumn(
+        "_ra", F.row_number().over(Window.partitionBy(*on).orderBy(*order_cols))
+    ).where(F.col("_ra") <= F.lit(offset))
+    heads = heads.select(*grp, (F.col("_off") + F.col("_ra")).alias("_tpos"), F.col(value).alias("_hv"))
+    fix = tails.join(heads, on=[*grp, "_tpos"], how="inner").select(*on, "_lpos", "_hv")  # <= offset * (buckets - 1) rows
+    out = local.join(F.broadcast(fix), on=[*on, "_lpos"], how="left")
+    out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_hv")))
+    return out.drop(*grp, "_bucket", "_lpos", "_hv")
+
+
+def _reversed(keys: Sequence[OrderKey]) -> list[OrderKey]:
+    """The same total order, descending (NULL placement flipped accordingly)."""
+    return [OrderKey(k.column, not k.ascending, not k.nulls_go_first) for k in keys]

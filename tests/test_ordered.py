@@ -130,3 +130,10 @@ def test_outlier_review_bucketed_equals_plain(spark):
     for x, y in list(zip(a, b)) + list(zip(c, b)):
         assert x[0] == y[0] and x[3:6] == y[3:6]
         assert x[1:3] + x[6:] == pytest.approx(y[1:3] + y[6:], rel=1e-12)
+
+
+@pytest.mark.parametrize("per", [33, 100000])
+def test_global_lead_matches_window(data, per):
+    got = lead_within(data, [], [OrderKey("v", ascending=False), OrderKey("id")], "v", 5, "nv", rows_per_bucket=per)
+    exp = data.select("id", F.lead("v", 5).over(Window.orderBy(F.col("v").desc(), "id")).alias("nv"))
+    assert {r["id"]: r["nv"] for r in got.select("id", "nv").collect()} == {r["id"]: r["nv"] for r in exp.collect()}
