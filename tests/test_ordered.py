@@ -137,3 +137,21 @@ def test_global_lead_matches_window(data, per):
     got = lead_within(data, [], [OrderKey("v", ascending=False), OrderKey("id")], "v", 5, "nv", rows_per_bucket=per)
     exp = data.select("id", F.lead("v", 5).over(Window.orderBy(F.col("v").desc(), "id")).alias("nv"))
     assert {r["id"]: r["nv"] for r in got.select("id", "nv").collect()} == {r["id"]: r["nv"] for r in exp.collect()}
+
+
+def test_lead_with_null_group(spark):
+    rows = [(i, None if i % 4 == 0 else i % 3, float(i % 17)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g long, v double")
+    got = lead_within(df, ["g"], [OrderKey("v"), OrderKey("id")], "id", 2, "nid", rows_per_bucket=30)
+    exp = df.select("id", F.lead("id", 2).over(Window.partitionBy("g").orderBy("v", "id")).alias("nid"))
+    assert {r["id"]: r["nid"] for r in got.select("id", "nid").collect()} == {r["id"]: r["nid"] for r in exp.collect()}
+
+
+@pytest.mark.parametrize("top_n,r", [(10_000, 0.5), (1, 1.0)])
+def test_top_value_ranks_extremes(data, top_n, r):
+    from staylens.operators.ordered import top_value_ranks
+
+    full = {x["_v"]: (x["dense_rank_desc"], x["percent_rank"]) for x in value_ranks(data, "v").collect()}
+    top = {x["_v"]: x["dense_rank_desc"] for x in top_value_ranks(data, "v", top_n, r, rows_per_bucket=20).collect()}
+    assert {v for v, (d, p) in full.items() if d <= top_n or p >= r} <= set(top)
+    assert all(full[v][0] == d for v, d in top.items())
