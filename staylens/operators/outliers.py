@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from staylens import config as C
 from staylens.functions.columns import fixed_day_label, percentile_label
 from staylens.operators.labels import percentile_threshold, with_threshold
-from staylens.operators.ordered import ROWS_PER_BUCKET, top_value_ranks
+from staylens.operators import ordered
+from staylens.operators.ordered import top_value_ranks
 
 
 def long_stay_outlier_review(
@@ -29,7 +30,7 @@ def long_stay_outlier_review(
 ) -> DataFrame:
     los = F.col(los_col)
     row_bound = prefix_kw.get("row_bound")
-    if row_bound is not None and row_bound <= (prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET):
+    if row_bound is not None and row_bound <= (prefix_kw.get("rows_per_bucket") or ordered.ROWS_PER_BUCKET):
         return _review_small(cohort, top_n, min_percent_rank, los_col, fixed_day_threshold, percentile, **prefix_kw)
     ranks = top_value_ranks(cohort, los_col, top_n, min_percent_rank, **prefix_kw)
     keep = ranks.where((F.col("dense_rank_desc") <= F.lit(top_n)) | (F.col("percent_rank") >= F.lit(float(min_percent_rank))))
