@@ -285,6 +285,7 @@ _SUB = " UNION ALL ".join(
 )
 SQL["subgroup_summary"] = BASE + f", t AS (SELECT quantile_cont(los_days, 0.9) AS p90 FROM cohort_nj)\nSELECT * FROM ({_SUB}) ORDER BY dimension, long_stay_share_gte_p90 DESC, n_admissions DESC"
 
+SQL["subgroup_summary_union"] = SQL["subgroup_summary"]  # same relation, UNION ALL spelling on the Spark side
 SQL["subgroup_rates"] = BASE + " UNION ALL ".join(
     f"""SELECT '{t}' AS definition, '{g}' AS group_column, CAST({g} AS VARCHAR) AS group_value, COUNT({t}) AS n_admissions,
        {_r(f'AVG(CAST({t} AS DOUBLE))', 'long_stay_rate')} FROM labeled GROUP BY {g}"""

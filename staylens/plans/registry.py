@@ -109,6 +109,13 @@ def q_subgroup_summary(spark, sf):
     return P.subgroup_summary(c, **kw)
 
 
+@query("subgroup_summary_union")
+def q_subgroup_summary_union(spark, sf):
+    """U1: the same subgroup summary as a UNION ALL of one aggregate per dimension."""
+    c, kw = X.bounded(X.cohort_sql(spark, sf, with_patients=False))
+    return P.subgroup_summary_union(c, **kw)
+
+
 @query("subgroup_rates")
 def q_subgroup_rates(spark, sf):
     """A9 long-form subgroup rates for both labels."""
