@@ -42,3 +42,47 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of templates that recur across documents."""
+    from .linededup import drop_repeated_lines
+
+    found = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_dropped")
+
+
+SQL["op2_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, g.pos AS pos, string_split(text, chr(10))[g.pos + 1] AS line
+  FROM documents, generate_series(0, len(string_split(text, chr(10))) - 1) AS g(pos)
+), tokens AS (
+  SELECT doc_id, pos,
+         list_transform(list_filter(regexp_split_to_array(line, '[ \t\r\f]+'), lambda x: x <> ''),
+                        lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+  FROM lines
+), judged AS (
+  SELECT doc_id, pos, t, len(t) AS n FROM tokens
+  WHERE len(t) >= 3 AND 2 * len(list_filter(t, lambda x: x = '<*>')) <= len(t)
+), templates AS (
+  SELECT doc_id, pos, n, t AS template FROM judged
+  UNION ALL
+  SELECT doc_id, pos, n,
+         list_concat(['#' || n || '#' || g.g], t[1:3 + (n - 3) * g.g // 5], ['<?>'], t[4 + (n - 3) * (g.g + 1) // 5:]) AS template
+  FROM judged, generate_series(0, 4) AS g(g) WHERE n >= 10
+), recurring AS (
+  SELECT template, min((doc_id, pos)) AS first
+  FROM templates GROUP BY template
+  HAVING count(DISTINCT doc_id) >= CASE WHEN min(n) >= 8 THEN 2 ELSE 10 END
+), dropped AS (
+  SELECT DISTINCT doc_id, pos FROM templates JOIN recurring USING (template) WHERE (doc_id, pos) <> first
+)
+SELECT d.doc_id,
+       CASE WHEN count(x.pos) = 0 THEN any_value(d.text)
+            ELSE coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL), '') END AS text,
+       count(l.pos)::INTEGER AS n_lines, count(x.pos)::INTEGER AS n_dropped
+FROM documents d LEFT JOIN lines l ON l.doc_id = d.doc_id
+LEFT JOIN dropped x ON x.doc_id = l.doc_id AND x.pos = l.pos
+GROUP BY d.doc_id
+"""
