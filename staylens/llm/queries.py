@@ -86,3 +86,15 @@ FROM documents d LEFT JOIN lines l ON l.doc_id = d.doc_id
 LEFT JOIN dropped x ON x.doc_id = l.doc_id AND x.pos = l.pos
 GROUP BY d.doc_id
 """
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains, with the passage."""
+    from .decontaminate import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "item_id", F.col("met").alias("n_windows_met"), F.col("windows").alias("n_windows"),
+        F.col("slots").alias("n_slots"), "start", "end",
+    )
