@@ -98,3 +98,16 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.col("id").alias("doc_id"), "item_id", F.col("met").alias("n_windows_met"), F.col("windows").alias("n_windows"),
         F.col("slots").alias("n_slots"), "start", "end",
     )
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fifth."""
+    from . import toxicity as T
+
+    docs = table(spark, sf_dir, "documents")
+    model = T.train(T.training_rows(docs, table(spark, sf_dir, "labels")))
+    return T.score(docs, model).select(
+        F.col("id").alias("doc_id"), T.held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("unit").alias("worst_unit"),
+    )
