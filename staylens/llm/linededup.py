@@ -40,18 +40,19 @@ FIELD = "<*>"
 def tokens_of(line: Column) -> Column:
     """Tokens of a line, those with a digit as fields (a blank line has none)."""
     masked = F.regexp_replace(line, r"(?<![^ \t\r\f])[^ \t\r\f]*?[0-9][^ \t\r\f]*", FIELD)
-    return F.filter(F.split(masked, r"[ \t\r\f]+"), lambda t: t != "")
+    masked = F.when(line.rlike("[0-9]"), masked).otherwise(line)  # most lines have none
+    return F.array_remove(F.split(masked, r"[ \t\r\f]+"), "")
 
 
 def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, pos, n, full, leaf, segments) of every line that may be judged."""
-    lines = docs.select(
+    # Tokens are made before the explode: behind it, filters would compute them once more.
+    tokens = docs.select(
         F.col(id_col).alias("id"),
         row_key(id_col, text_col).alias("key"),
-        F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"),
-    )
-    tokens = lines.select("id", "key", "pos", tokens_of(F.col("line")).alias("t")).withColumn("n", F.size("t"))
-    tokens = tokens.where((F.col("n") >= MIN_TOKENS) & (2 * F.size(F.filter("t", lambda t: t == FIELD)) <= F.col("n")))
+        F.posexplode(F.transform(F.split(F.col(text_col), "\n"), tokens_of)).alias("pos", "t"),
+    ).withColumn("n", F.size("t"))
+    tokens = tokens.where((F.col("n") >= MIN_TOKENS) & (2 * F.size(F.array_remove("t", FIELD)) >= F.col("n")))
     tail, lead = F.col("n") - DEPTH, F.slice("t", 1, DEPTH)
     segments = F.array(*[
         F.xxhash64(F.lit(g), F.slice(F.col("t"), DEPTH + 1 + F.floor(tail * g / SEGMENTS).cast("int"),
