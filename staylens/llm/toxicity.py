@@ -15,8 +15,8 @@ Training (labels of documents; a document is toxic through some of its units):
 3. ``ROUNDS`` - 1 times: the worst unit of each sampled document joins the training units,
    so that clean look-alikes become negatives (the most frequent also landmarks) and
    variants of insults positives.
-4. A logistic curve turns the margins of the two worst units of a document, the number of
-   units above the bound and the number of tokens into a score.
+4. A logistic curve turns the margins of the two worst units of a document and the number
+   of its units above the bound into a score.
 
 The SVM on Nystroem features is a weighted sum of kernels with the landmarks, hence one
 weight per letter triple: scoring a unit needs neither landmarks nor pairs.
@@ -50,6 +50,7 @@ LETTERS = 64
 WINDOW = 18  # letters of a unit compared at a time; longer units are read in overlapping windows
 SAMPLE = 3000
 ROUNDS = 4
+SHARE = 0.2  # least weight of the toxic class in the curve: a missed insult costs more
 STEMS = 96
 UNITS = 6_000
 CANDIDATES = 2000
@@ -138,14 +139,28 @@ class Kernel:
             out /= self.norms(codes)[0]
         return out
 
-    def against(self, units: list[str], vectors: np.ndarray) -> np.ndarray:
-        """Products of the units' normalised features with ``vectors`` (triples x m)."""
+    def basis(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each triple, features): the normalised features of ``units`` as columns
+        over the triples that any of them has; row 0, for all other triples, is zero."""
+        row = np.zeros(LETTERS**3, np.int32)
+        sparse = [(np.flatnonzero(d), d[np.flatnonzero(d)]) for d in map(self.dense, units)]
+        used = np.unique(np.concatenate([at for at, _ in sparse]))
+        row[used] = np.arange(1, len(used) + 1)
+        features = np.zeros((len(used) + 1, len(units)), np.float32)
+        for m, (at, values) in enumerate(sparse):
+            features[row[at], m] = values
+        return row, features
+
+    def against(self, units: list[str], vectors: np.ndarray, row: np.ndarray | None = None) -> np.ndarray:
+        """Products of the units' normalised features with ``vectors``, whose rows are
+        the triples, or what ``row`` maps them to."""
         out = np.zeros((len(units), vectors.shape[1]), np.float32)
         for where, codes in self.by_length(units):
             triple, weight = self.features(codes)
             norm = self.norms(codes)
-            for part in np.array_split(np.arange(len(where)), 1 + triple.size * vectors.shape[1] // 20_000_000):
-                out[where[part]] = np.einsum("ntm,t->nm", vectors[triple[part]], weight) / norm[part, None]
+            at = triple if row is None else row[triple]
+            for part in np.array_split(np.arange(len(where)), 1 + triple.size * vectors.shape[1] // 4_000_000):
+                out[where[part]] = np.einsum("ntm,t->nm", vectors[at[part]], weight) / norm[part, None]
         return out
 
 
@@ -196,7 +211,7 @@ class Model:
         return out
 
     def scores(self, found: list[tuple]) -> np.ndarray:
-        return _logistic(_curve_inputs(found) @ np.array(self.curve)) if found else np.zeros(0)
+        return _logistic((_curve_inputs(found) * np.array(self.curve)).sum(axis=1)) if found else np.zeros(0)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -204,8 +219,8 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def _curve_inputs(found: list[tuple]) -> np.ndarray:
-    table = np.array([f[:4] for f in found], float).reshape(-1, 4)
-    return np.column_stack([np.ones(len(table)), table[:, 0], table[:, 1], np.log1p(table[:, 2]), np.log1p(table[:, 3])])
+    table = np.array([f[:3] for f in found], float).reshape(-1, 3)
+    return np.column_stack([np.ones(len(table)), table[:, 0], table[:, 1], np.log1p(table[:, 2])])
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -224,9 +239,9 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1
     return w
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Ridge logistic regression by Newton steps, both classes of equal weight."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
+def fit_curve(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-2) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; ``share`` of the weight is on class 1."""
+    weight = np.where(y > 0, share / max(1, (y > 0).sum()), (1 - share) / max(1, (y <= 0).sum())) * len(y)
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = _logistic(x @ w)
@@ -323,7 +338,7 @@ def train(labelled: DataFrame) -> Model:
     numbers = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     docs = (numbers.get(0, 0), numbers.get(1, 0))
     if not all(docs):
-        return Model("", np.zeros(LETTERS**3, np.float32), FLOOR, [-30.0, 0.0, 0.0, 0.0, 0.0])
+        return Model("", np.zeros(LETTERS**3, np.float32), FLOOR, [-30.0, 0.0, 0.0, 0.0])
     order = F.xxhash64(F.lit("toxicity sample"), "id")
     sample = store(
         labelled.where("toxic = 1").orderBy(order).limit(SAMPLE).union(labelled.where("toxic = 0").orderBy(order).limit(SAMPLE)),
@@ -335,7 +350,7 @@ def train(labelled: DataFrame) -> Model:
     kernel = Kernel("".join(c for c, _ in sorted(letters.items(), key=lambda p: (-p[1], p[0]))))
     landmarks = [BEGIN + s for s in bad + good]
     if not bad:
-        return Model("", np.zeros(LETTERS**3, np.float32), FLOOR, [-30.0, 0.0, 0.0, 0.0, 0.0])
+        return Model("", np.zeros(LETTERS**3, np.float32), FLOOR, [-30.0, 0.0, 0.0, 0.0])
     known = {u: (y, n) for u, y, n in units}
     model = None
     for round_ in range(ROUNDS):
@@ -352,19 +367,20 @@ def train(labelled: DataFrame) -> Model:
                 if r.toxic == 1 and r.top > 0 and len(r.unit) > 2 and (u := windows(r.unit)[0]) not in clean:
                     known[u] = (1.0, known.get(u, (0, 0))[1] + 1)
             landmarks += [u for u, n in sorted(hard.items(), key=lambda p: (-p[1], p[0])) if n and u not in landmarks][:HARD]
-        vectors = np.stack([kernel.dense(s) for s in landmarks], axis=1)
-        values, basis = np.linalg.eigh(vectors.T.astype(float) @ vectors + 1e-3 * np.eye(len(landmarks)))
+        row, vectors = kernel.basis(landmarks)
+        values, basis = np.linalg.eigh(vectors.T @ vectors + 1e-3 * np.eye(len(landmarks)))
         whiten = basis / np.sqrt(np.maximum(values, 1e-6)) @ basis.T
         names = sorted(known)
         y = np.array([known[u][0] for u in names])
         count = np.log1p(np.array([known[u][1] for u in names], float))
-        x = kernel.against(names, vectors).astype(float) @ whiten
+        x = kernel.against(names, vectors, row).astype(float) @ whiten
         weight = count * np.where(y > 0, 1 / max(1e-9, count[y > 0].sum()), 1 / max(1e-9, count[y < 0].sum())) * len(y) / 2
         w = fit_svm(np.column_stack([x, np.ones(len(x))]), y, weight)
-        model = Model(kernel.alphabet, (vectors @ (whiten @ w[:-1])).astype(np.float32), float(w[-1]), [0.0] * 5, list(landmarks))
+        weights = (vectors @ (whiten @ w[:-1])).astype(np.float32)[row]
+        model = Model(kernel.alphabet, weights, float(w[-1]), [0.0] * 4, list(landmarks))
     rows = _apply(sample.select("id", "text", "toxic"), model, keep_toxic=True).collect()
-    found = [(r.top, r.second, r.above, r.n) for r in rows]
-    model.curve = fit_curve(_curve_inputs(found), np.array([float(r.toxic) for r in rows])).tolist()
+    found = [(r.top, r.second, r.above) for r in rows]
+    model.curve = fit_curve(_curve_inputs(found), np.array([float(r.toxic) for r in rows]), max(SHARE, docs[1] / sum(docs))).tolist()
     return model
 
 
