@@ -111,3 +111,30 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), T.held_out("id").alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("unit").alias("worst_unit"),
     )
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings at cosine 0.9."""
+    from .embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+SQL["op1_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), named AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+       n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n ON n.a = e.vec_id
+"""
