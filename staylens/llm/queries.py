@@ -138,3 +138,18 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
        n.component_id, e.vec_id = n.component_id AS kept
 FROM embeddings e JOIN named n ON n.a = e.vec_id
 """
+
+
+# The rules of the URL filter query.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page: the longest rule's, else the trees'."""
+    from .urls import judge
+
+    found = judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
