@@ -153,3 +153,13 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = judge(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from two thirds of them."""
+    from . import langid as G
+
+    docs = table(spark, sf_dir, "documents")
+    languages = G.prototypes(G.training_rows(docs))
+    return G.identify(docs, languages).select(F.col("id").alias("doc_id"), G.held_out("id").alias("held_out"), "lang_pred", "score")
