@@ -49,39 +49,32 @@ def _letters() -> np.ndarray:
     return out
 
 
-def symbols(text: str) -> np.ndarray:
-    """Letters of a text with one gap before, between and after its words."""
+def symbols(text: str, before: np.ndarray, last: bool) -> np.ndarray:
+    """Letters of a stretch of text behind the symbols ``before``, with one gap between
+    words, and one at the end of the ``last`` stretch."""
     cp = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     table = _letters()
     code = np.where(cp < len(table), table[np.minimum(cp, len(table) - 1)], cp)  # beyond the BMP: as it is
-    code = np.concatenate(([GAP], code, [GAP]))
+    code = np.concatenate((before, code, np.full(int(last), GAP)))
     return code[(code != GAP) | np.concatenate(([True], code[:-1] != GAP))]
 
 
 def grams(text: str, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram codes, counts): 21 bits per letter; only n-grams with a letter."""
-    total: dict[int, int] = {}
-    parts = []
+    """(n-gram codes, counts) of a text, 21 bits per letter."""
+    parts, tail = [], np.array([GAP])
     for start in range(0, max(1, len(text)), CHARS):
-        # Chunks overlap so that no n-gram is lost; the gap at a cut is removed.
-        s = symbols(text[max(0, start - n + 1) : start + CHARS])
-        if start:
-            s = s[1:]
-        if start + CHARS < len(text):
-            s = s[:-1]
-        if len(s) < n:
-            continue
-        code = np.zeros(len(s) - n + 1, np.int64)
-        for k in range(n):
-            code = (code << 21) | s[k : k + len(code)]
-        parts.append(np.unique(code, return_counts=True))
+        s = symbols(text[start : start + CHARS], tail, start + CHARS >= len(text))
+        tail = s[-(n - 1) :]
+        if len(s) >= n:
+            code = np.zeros(len(s) - n + 1, np.int64)
+            for k in range(n):
+                code = (code << 21) | s[k : k + len(code)]
+            parts.append(np.unique(code, return_counts=True))
     if len(parts) == 1:
         return parts[0]
-    for codes, counts in parts:
-        for c, m in zip(codes.tolist(), counts.tolist(), strict=True):
-            total[c] = total.get(c, 0) + m
-    keys = np.array(sorted(total), np.int64)
-    return keys, np.array([total[k] for k in keys.tolist()], np.int64)
+    codes = np.concatenate([c for c, _ in parts] or [np.zeros(0, np.int64)])
+    keys, at = np.unique(codes, return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([m for _, m in parts] or [[]]), len(keys)).astype(np.int64)
 
 
 class Space:
