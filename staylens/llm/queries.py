@@ -163,3 +163,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     languages = G.prototypes(G.training_rows(docs))
     return G.identify(docs, languages).select(F.col("id").alias("doc_id"), G.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label quality of all documents: votes, posterior, score and decision."""
+    from . import quality as Q
+
+    docs = table(spark, sf_dir, "documents")
+    return Q.classify(docs, Q.train(docs)).select(F.col("id").alias("doc_id"), "votes", "posterior", "score", (F.col("score") >= 0.5).alias("keep"))
