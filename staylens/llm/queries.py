@@ -172,3 +172,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return Q.classify(docs, Q.train(docs)).select(F.col("id").alias("doc_id"), "votes", "posterior", "score", (F.col("score") >= 0.5).alias("keep"))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of all documents; target: documents labelled of quality."""
+    from .lmscore import score
+
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return score(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
