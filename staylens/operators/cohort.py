@@ -113,13 +113,14 @@ def build_cohort_sql(admissions: DataFrame, patients: DataFrame | None = None) -
 
 
 def build_cohort_python(admissions: DataFrame, patients: DataFrame) -> DataFrame:
-    merged = derive_stay_columns(merge_admissions_patients(admissions, patients))
-    present = merged.where(F.col("hadm_id").isNotNull() & F.col("admittime").isNotNull() & F.col("dischtime").isNotNull())
-    # Patient columns need no tie-break: one demographic row per subject_id (a sort key).
+    """Python-mode cohort.  Each admission meets at most one demographic row, so the rows
+    are filtered and deduplicated on admission columns first and joined after."""
+    validate_required_columns(admissions, C.REQUIRED_ADMISSIONS_COLUMNS, "admissions")
+    present = admissions.where(F.col("hadm_id").isNotNull() & F.col("admittime").isNotNull() & F.col("dischtime").isNotNull())
     order = _asc_last(("admittime", "dischtime", "subject_id"), present.columns)
     order += _asc_last(ADMISSION_TIEBREAK, present.columns)
-    first = keep_first(present, ["hadm_id"], order)
-    return select_cohort_columns(first.where(F.col("los_days") > 0))
+    first = keep_first(present, ["hadm_id"], order).where(los_days("admittime", "dischtime") > 0)
+    return select_cohort_columns(derive_stay_columns(merge_admissions_patients(first, patients)))
 
 
 def build_inpatient_cohort(admissions: DataFrame, patients: DataFrame, mode: str = "sql") -> DataFrame:

@@ -41,19 +41,15 @@ def _curve(scored: DataFrame, **prefix_kw) -> DataFrame:
         sample_from=scored.select("model", "y_score"), **prefix_kw,
     )
     totals = vc.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    return pref.join(totals, on="model", how="inner").select(
-        "model", "y_score", "pos", "neg", "n_pos", "n_neg", F.col("_pos").alias("rank_desc"),
-        F.col("_cum_pos").alias("tp"), F.col("_cum_neg").alias("fp"),
+    return pref.join(F.broadcast(totals), on="model", how="inner").select(  # one row per model
+        "model", "y_score", "pos", "neg", "n_pos", "n_neg", F.col("_cum_pos").alias("tp"), F.col("_cum_neg").alias("fp")
     )
 
 
 def threshold_table(scored: DataFrame, **prefix_kw) -> DataFrame:
-    """Precision and recall at every distinct score from the top down to the first score
-    reaching full recall, ascending by threshold (the endpoint row is not included)."""
-    c = _curve(scored, **prefix_kw)
-    above = F.col("tp") - F.col("pos")
-    kept = c.where((F.col("rank_desc") == 1) | (above < F.col("n_pos")))
-    return kept.select(
+    """Precision and recall at every distinct score, ascending by threshold (the endpoint
+    row of the curve, which has no threshold, is not included)."""
+    return _curve(scored, **prefix_kw).select(
         "model",
         F.col("y_score").alias("threshold"),
         (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
@@ -230,7 +226,7 @@ def calibration_table(scored: DataFrame, n_bins: int = 10, **prefix_kw) -> DataF
     edges = edges_long.groupBy("model").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_edges"))
     edges = edges.where(F.size("_edges") >= 2)  # at most n_bins + 1 values per model
     s = F.col("y_score")
-    binned = scored.join(edges, on="model", how="inner").withColumn(
+    binned = scored.join(F.broadcast(edges), on="model", how="inner").withColumn(
         "bin", F.greatest(F.size(F.filter("_edges", lambda e: e < s)) - 1, F.lit(0))
     )
     out = binned.groupBy("model", "bin").agg(

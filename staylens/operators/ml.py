@@ -1,8 +1,8 @@
 """Model training and explanation with MLlib.
 
 * Split: exact stratified counts (train per class by largest remainder), membership by a
-  seeded hash order within each class, positions from :func:`ordered_prefix` so the
-  majority class is never ordered in one task.  Stable across runs and recomputation.
+  seeded hash order within each class, cut at one (hash, id) per class so the majority
+  class is never ordered in one task; rows sharing the cut's id are counted off.  Stable across runs and recomputation.
 * Preprocessing: exact median (interpolated) and population standard deviation for
   numeric columns, the most frequent value (smallest on ties) for categorical columns,
   then alphabetical one-hot with unseen values mapped to an all-zero vector.  The fitted
@@ -21,6 +21,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,30 +58,38 @@ def stratified_split(
     buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
     bucketed = assign_buckets(keyed, ["_y"], OrderKey("_h"), buckets, n, prefix_kw.get("seed", 17)) if buckets > 1 else None
     if bucketed is None:
-        pos = ordered_prefix(keyed, ["_y"], [OrderKey("_h"), OrderKey(id_col)], **{**prefix_kw, "n_rows": n})
-        out = pos.join(F.broadcast(alloc), on="_y", how="left")  # one row per class label
-        return out.withColumn("split", F.when(F.col("_pos") <= F.col("_test_c"), F.lit("test")).otherwise(F.lit("train"))).drop(
-            "_y", "_h", "_pos", "_test_c"
-        )
+        bucketed = keyed.select("*", F.struct("_y").alias("_gk"), F.lit(0).alias("_bucket"))
     cut = _test_cutoffs(bucketed, alloc, id_col)
-    out = keyed.join(F.broadcast(cut), on="_y", how="left")  # one row per class label
-    is_test = F.coalesce(F.struct(F.col("_h"), F.col(id_col)) <= F.col("_cut"), F.lit(False))
-    return out.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop("_y", "_h", "_cut")
+    tagged = keyed.withColumn("_key", F.struct("_h", F.col(id_col).alias("_id"))).join(F.broadcast(cut), on="_y", how="left")  # one row per class
+    at_cut = F.coalesce(F.col("_key").eqNullSafe(F.col("_cut")) & F.col("_cut").isNotNull(), F.lit(False))
+    before = F.coalesce(F.col("_key") < F.col("_cut"), F.lit(False))
+    sure = tagged.where(~at_cut).withColumn("split", F.when(before, F.lit("test")).otherwise(F.lit("train")))
+    # Rows that share the cut's hash and id: as many as are still wanted, in an order over all
+    # columns (rows equal in all of them are interchangeable).
+    ties = tagged.where(at_cut).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ties = ordered_prefix(ties, ["_y"], [OrderKey("_tie")], **{**prefix_kw, "n_rows": n})
+    ties = ties.withColumn("split", F.when(F.col("_pos") <= F.col("_take"), F.lit("test")).otherwise(F.lit("train")))
+    return sure.select(*df.columns, "split").union(ties.select(*df.columns, "split"))
 
 
 def _test_cutoffs(bucketed: DataFrame, alloc: DataFrame, id_col: str) -> DataFrame:
-    """Per class, the (hash, id) of its ``_test_c``-th row in hash order: per-bucket counts
-    locate the one bucket holding that rank and only that bucket is sorted."""
+    """Per class, the (hash, id) of its ``_test_c``-th row in hash order and how many rows
+    with that hash and id belong to the test part.  Per-bucket counts locate the one bucket
+    holding that rank; of it, only distinct (hash, id) with their counts are sorted."""
     counts = bucketed.groupBy("_gk", "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
     before = Window.partitionBy("_gk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_bc").over(before), F.lit(0))).withColumn("_y", F.col("_gk._y"))
-    target = counts.join(F.broadcast(alloc), on="_y").where(
+    target = counts.join(F.broadcast(alloc), F.col("_gk._y").eqNullSafe(alloc["_y"])).where(
         (F.col("_test_c") > F.col("_off")) & (F.col("_test_c") <= F.col("_off") + F.col("_bc"))
     )  # one bucket per class with test rows
     rows = bucketed.join(F.broadcast(target.select("_gk", "_bucket", "_off", "_test_c")), on=["_gk", "_bucket"], how="inner")
-    local = Window.partitionBy("_gk", "_bucket").orderBy(F.col("_h"), F.col(id_col))
-    rows = rows.withColumn("_pos", F.col("_off") + F.row_number().over(local))
-    return rows.where(F.col("_pos") == F.col("_test_c")).select(F.col("_gk._y").alias("_y"), F.struct(F.col("_h"), F.col(id_col)).alias("_cut"))
+    distinct = rows.groupBy("_gk", "_bucket", "_off", "_test_c", "_h", F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_w"))
+    local = Window.partitionBy("_gk", "_bucket").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = distinct.withColumn("_end", F.col("_off") + F.sum("_w").over(local))
+    hit = ends.where((F.col("_end") >= F.col("_test_c")) & (F.col("_end") - F.col("_w") < F.col("_test_c")))
+    return hit.select(
+        F.col("_gk._y").alias("_y"), F.struct("_h", "_id").alias("_cut"), (F.col("_test_c") - F.col("_end") + F.col("_w")).alias("_take")
+    )
 
 
 def split_counts(split_df: DataFrame, label_col: str = LABEL) -> DataFrame:
@@ -296,21 +305,25 @@ def permutation_importance(
     """Accuracy drop when one raw feature is permuted, mean and population std over repeats.
 
     All (feature, repeat) copies are one long table scored in a single ``transform``.
-    A permutation pairs row position i (id order) with the row at position i of a seeded
-    hash order; positions come from :func:`ordered_prefix` partitioned by repeat."""
-    base = ordered_prefix(test, [], [OrderKey(id_col)], **prefix_kw).withColumnRenamed("_pos", "_i")
+    A repeat's permutation pairs row position i (id order) with the row at position i of a
+    seeded hash order; positions come from one :func:`ordered_prefix` partitioned by repeat,
+    and each copy takes one feature from the paired row."""
     spark = test.sparkSession
+    base = ordered_prefix(test, [], [OrderKey(id_col)], **prefix_kw).withColumnRenamed("_pos", "_i").persist(StorageLevel.MEMORY_AND_DISK)
     reps = spark.range(n_repeats).select(F.col("id").cast("int").alias("_r"))
     baseline = model.transform(base).select(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc0"))
-    copies = None
-    for f_idx, feat in enumerate(features):
-        keyed = base.select("_i", F.col(feat).alias("_val")).crossJoin(F.broadcast(reps))  # n_repeats rows
-        keyed = keyed.withColumn("_h", F.xxhash64(F.lit(seed), F.lit(f_idx), F.col("_r"), F.col("_i")))
-        perm = ordered_prefix(keyed, ["_r"], [OrderKey("_h"), OrderKey("_i")], **prefix_kw)
-        source = perm.select("_r", F.col("_pos").alias("_i"), "_val")
-        rows = base.crossJoin(F.broadcast(reps)).join(source, on=["_r", "_i"], how="inner")
-        rows = rows.withColumn(feat, F.col("_val").cast(test.schema[feat].dataType)).drop("_val").withColumn("_feature", F.lit(feat))
-        copies = rows if copies is None else copies.unionByName(rows)
+    # One ordering per repeat serves every feature: position i takes its values from row _from.
+    n = prefix_kw.get("row_bound") or base.count()
+    keyed = base.select(F.col("_i").alias("_from")).crossJoin(F.broadcast(reps))  # n_repeats rows
+    keyed = keyed.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_r"), F.col("_from")))
+    perm = ordered_prefix(keyed, ["_r"], [OrderKey("_h"), OrderKey("_from")], **{**prefix_kw, "row_bound": n * n_repeats})
+    values = base.select(F.col("_i").alias("_from"), F.struct(*[F.col(f).alias(f) for f in features]).alias("_v"))
+    rows = perm.select("_r", F.col("_pos").alias("_i"), "_from").join(values, "_from").join(base, "_i")
+    swapped = F.array(*[
+        F.struct(F.lit(feat).alias("_feature"), *[(F.col(f"_v.{f}") if f == feat else F.col(f)).alias(f) for f in features]) for feat in features
+    ])
+    kept = [c for c in test.columns if c not in features]
+    copies = rows.select("_r", *kept, F.inline(swapped))
     scored = model.transform(copies)
     acc = scored.groupBy("_feature", "_r").agg(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc"))
     drops = acc.crossJoin(F.broadcast(baseline)).withColumn("_d", F.col("_acc0") - F.col("_acc"))

@@ -9,8 +9,8 @@ in buckets instead:
 2. If ``B == 1`` the data is small by that bound: use the plain window.
 3. Otherwise take a bounded, seeded sample of the sort key (group columns plus the first
    order key), sort it, and keep ``B - 1`` boundaries.  The boundaries are broadcast as
-   one row; a row's bucket is the number of boundaries ``<=`` its key (a two-level
-   lookup keeps this O(sqrt B) per row).  The bucket is a pure function of the row, so
+   one row; a row's bucket is the number of boundaries ``<=`` its key (a generated binary
+   search, log2(B) comparisons a row).  The bucket is a pure function of the row, so
    a recomputed task puts every row in the same bucket again, and equal keys never
    straddle buckets.  A hot group simply spans many buckets.
 4. A window partitioned by (group, bucket) gives local positions and running sums.
@@ -46,8 +46,7 @@ from staylens.functions.columns import col_of
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 65_536
 SAMPLE_PER_BUCKET = 32
-MAX_SAMPLE = 1_000_000  # keys collected for the boundaries, at most (as Spark's range partitioner)
-SINGLE_LEVEL_MAX = 128
+MAX_SAMPLE = 1_000_000  # keys sorted for the boundaries (as Spark's range partitioner)
 DEFAULT_SEED = 17
 
 
@@ -105,29 +104,19 @@ def _numeric_key(df: DataFrame, key: OrderKey) -> Column:
 
 
 def _bucket_lookup(spark, keyed: DataFrame, bounds: list, key_type: T.DataType) -> DataFrame:
-    """Attach ``_bucket`` = number of boundaries <= ``_bk`` using a broadcast row."""
+    """Attach ``_bucket`` = number of boundaries <= ``_bk``: a binary search over one
+    broadcast row, one generated projection per step (log2(B) comparisons a row)."""
     m = len(bounds)
-    if m <= SINGLE_LEVEL_MAX:
-        step, coarse = 0, []
-    else:
-        step = int(math.ceil(math.sqrt(m)))
-        coarse = bounds[step - 1 :: step]
-    schema = T.StructType(
-        [
-            T.StructField("_bounds", T.ArrayType(key_type, False), False),
-            T.StructField("_coarse", T.ArrayType(key_type, False), False),
-        ]
-    )
-    bounds_df = spark.createDataFrame([(bounds, coarse)], schema)
-    joined = keyed.crossJoin(F.broadcast(bounds_df))  # one row, at most MAX_BUCKETS entries
-    bk = F.col("_bk")
-    if step == 0:
-        bucket = F.size(F.filter("_bounds", lambda b: b <= bk))
-    else:
-        t = F.size(F.filter("_coarse", lambda b: b <= bk))
-        fine = F.slice(F.col("_bounds"), t * F.lit(step) + F.lit(1), F.lit(step - 1))
-        bucket = t * F.lit(step) + F.size(F.filter(fine, lambda b: b <= bk))
-    return joined.withColumn("_bucket", bucket.cast("int")).drop("_bounds", "_coarse")
+    schema = T.StructType([T.StructField("_bounds", T.ArrayType(key_type, False), False)])
+    bounds_df = spark.createDataFrame([(bounds,)], schema)
+    out = keyed.crossJoin(F.broadcast(bounds_df)).withColumn("_b0", F.lit(0))  # one row, at most MAX_BUCKETS entries
+    step, at = 1 << (m.bit_length() - 1), 0
+    while step:
+        low = F.col(f"_b{at}")
+        fits = F.get("_bounds", low + F.lit(step - 1)) <= F.col("_bk")  # NULL beyond the last boundary
+        out = out.withColumn(f"_b{at + 1}", F.when(fits, low + F.lit(step)).otherwise(low))
+        step, at = step >> 1, at + 1
+    return out.withColumn("_bucket", F.col(f"_b{at}").cast("int")).drop("_bounds", *[f"_b{i}" for i in range(at + 1)])
 
 
 def ordered_prefix(
@@ -186,23 +175,20 @@ def assign_buckets(
 ) -> DataFrame | None:
     """Add ``_gk`` (struct of the partition columns, when any) and ``_bucket``.
 
-    The boundaries come from a seeded sample of at most ``2 * min(SAMPLE_PER_BUCKET * buckets,
-    MAX_SAMPLE)`` keys collected once on the driver, so every task (and every recomputed task) assigns a
-    row to the same bucket.  Returns None when the sample yields no boundary."""
+    The boundaries come from a seeded sample of about ``min(SAMPLE_PER_BUCKET * buckets,
+    MAX_SAMPLE)`` keys; fewer than ``buckets`` of them are collected, once, so every task (and
+    every recomputed task) assigns a row to the same bucket.  Returns None when the sample
+    yields no boundary."""
     gk = [F.struct(*[F.col(c) for c in part]).alias("_gk")] if part else []
     key = F.struct(*([F.col("_gk")] if part else []), _numeric_key(df, first_key).alias("_k"))
     keyed = df.select("*", *gk).withColumn("_bk", key)
     source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
     wanted = min(SAMPLE_PER_BUCKET * buckets, MAX_SAMPLE)
-    frac = min(1.0, wanted / max(n, 1))
-    sample = [r["_bk"] for r in source.select("_bk").sample(False, frac, seed).limit(2 * wanted).orderBy("_bk").collect()]
-    bounds = []
-    for i in range(1, buckets):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
+    sample = source.select("_bk").sample(False, min(1.0, wanted / max(n, 1)), seed)
+    # The sample (about `wanted` keys) is sorted by Spark; only the boundaries reach the driver.
+    ranked = sample.withColumns({"_i": F.row_number().over(Window.orderBy("_bk")) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy())})
+    cut = F.floor(F.col("_i") * F.lit(buckets) / F.col("_n")) != F.floor((F.col("_i") - 1) * F.lit(buckets) / F.col("_n"))
+    bounds = [r["_bk"] for r in ranked.where((F.col("_i") > 0) & cut).select("_bk").distinct().orderBy("_bk").collect()]
     if not bounds:
         return None
     return _bucket_lookup(df.sparkSession, keyed, bounds, keyed.schema["_bk"].dataType).drop("_bk")
@@ -273,9 +259,9 @@ def exact_percentiles(
     n = row_bound if row_bound is not None else raw.count()
     buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
     keyed = assign_buckets(raw, g, OrderKey("_v"), buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
-    if keyed is None:
-        # At most rows_per_bucket values (counted): the exact aggregate's map is bounded.
-        return exact_percentiles(df, value, probs, g, **{**prefix_kw, "row_bound": n, "rows_per_bucket": max(n, 1)})
+    if keyed is None:  # one bucket: few rows, or no sample; ties are still counted before the shuffle
+        gk = [F.struct(*[F.col(c) for c in g]).alias("_gk")] if g else []
+        keyed = raw.select("*", *gk, F.lit(0).alias("_bucket"))
     return _bucketed_percentiles(keyed, g, probs)
 
 

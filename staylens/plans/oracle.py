@@ -139,8 +139,10 @@ SCORED = f"""
 scored AS (
   SELECT hadm_id, m.model, CASE WHEN los_days > 7.0 THEN 1 ELSE 0 END AS y_true,
          CASE WHEN m.model = 'score_hash' THEN CAST((hadm_id * 7919) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE)
+              WHEN m.model = 'score_tail' AND los_days > 7 THEN CAST(0.3 AS DOUBLE) + CAST(0.7 AS DOUBLE) * (CAST((hadm_id * 7919) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE))
+              WHEN m.model = 'score_tail' THEN CAST((hadm_id * 7919) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE)
               ELSE ROUND({_heuristic(('error',), ('purchase',))}, 6) END AS y_score
-  FROM cohort_sql CROSS JOIN (VALUES ('score_hash'), ('score_rule')) m(model)
+  FROM cohort_sql CROSS JOIN (VALUES ('score_hash'), ('score_rule'), ('score_tail')) m(model)
 ),
 scored2 AS (SELECT hadm_id, model, y_true, CASE WHEN y_score > 0.5 THEN 1 ELSE 0 END AS y_pred, y_score FROM scored),
 sc AS (
@@ -449,7 +451,7 @@ SQL["target_prevalence"] = BASE + f"SELECT {_r('AVG(CAST(long_stay_gt_7d AS DOUB
 SQL["pr_curve"] = BASE_SCORED + f"""
 SELECT model, {_r('y_score', 'threshold')}, {_r('CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)', 'precision')},
        {_r('CASE WHEN np_ > 0 THEN CAST(tp AS DOUBLE) / CAST(np_ AS DOUBLE) ELSE 1.0 END', 'recall')}
-FROM cur WHERE rk = 1 OR tp - pos < np_ ORDER BY model, threshold"""
+FROM cur ORDER BY model, threshold"""
 
 _BM_COLS = ", ".join(_r(c, c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "brier_score"))
 SQL["binary_metrics"] = BASE_SCORED + f"SELECT model, {_BM_COLS} FROM bm2"

@@ -45,8 +45,6 @@ def ref_pr_table(y, s):
         sel = s >= t
         tp = y[sel].sum()
         rows.append((t, tp / sel.sum(), tp / P if P else 1.0))
-        if tp == P:
-            break
     return sorted(rows)
 
 
@@ -82,6 +80,12 @@ def test_pr_table(random_scored, per):
         assert a == pytest.approx(b)
 
 
+def test_every_distinct_score_is_a_threshold(spark):
+    df = scored_df(spark, "m", [0, 0, 1, 1], [0.1, 0.4, 0.35, 0.8])
+    got = [(r["threshold"], r["precision"], r["recall"]) for r in E.threshold_table(df).collect()]
+    assert got == [(0.1, 0.5, 1.0), (0.35, pytest.approx(2 / 3), 1.0), (0.4, 0.5, 0.5), (0.8, 1.0, 0.5)]
+
+
 def test_single_class(spark):
     df = scored_df(spark, "m", [0, 0, 0], [0.1, 0.6, 0.3])
     r = E.binary_metrics(df).collect()[0]

@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as entry
+from staylens.plans.oracle import SQL as ORACLE
+from staylens.plans.registry import REGISTRY
 from tools.check_oracle import duck, rows_of
 
 from .conftest import SF_SMALL
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = ORACLE
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
