@@ -291,27 +291,19 @@ def tree_importance(spark: SparkSession, model: PipelineModel, names: list[str],
     return df.orderBy(F.desc("importance"), "feature").limit(top_n)
 
 
-def permutation_importance(
-    model: PipelineModel,
+def permuted_copies(
     test: DataFrame,
     features: Sequence[str],
-    n_repeats: int = 20,
+    n_repeats: int,
     seed: int = C.DEFAULT_SEED,
-    top_n: int = 20,
-    label_col: str = LABEL,
     id_col: str = "hadm_id",
     **prefix_kw,
-) -> DataFrame:
-    """Accuracy drop when one raw feature is permuted, mean and population std over repeats.
-
-    All (feature, repeat) copies are one long table scored in a single ``transform``.
-    A repeat's permutation pairs row position i (id order) with the row at position i of a
-    seeded hash order; positions come from one :func:`ordered_prefix` partitioned by repeat,
-    and each copy takes one feature from the paired row."""
+) -> tuple[DataFrame, DataFrame]:
+    """(rows by position, copies): every row once per feature and repeat (``_feature``,
+    ``_r``), with that feature taken from another row of the repeat's permutation."""
     spark = test.sparkSession
     base = ordered_prefix(test, [], [OrderKey(id_col)], **prefix_kw).withColumnRenamed("_pos", "_i").persist(StorageLevel.MEMORY_AND_DISK)
     reps = spark.range(n_repeats).select(F.col("id").cast("int").alias("_r"))
-    baseline = model.transform(base).select(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc0"))
     # One ordering per repeat serves every feature: position i takes its values from row _from.
     n = prefix_kw.get("row_bound") or base.count()
     keyed = base.select(F.col("_i").alias("_from")).crossJoin(F.broadcast(reps))  # n_repeats rows
@@ -323,7 +315,27 @@ def permutation_importance(
         F.struct(F.lit(feat).alias("_feature"), *[(F.col(f"_v.{f}") if f == feat else F.col(f)).alias(f) for f in features]) for feat in features
     ])
     kept = [c for c in test.columns if c not in features]
-    copies = rows.select("_r", *kept, F.inline(swapped))
+    return base, rows.select("_r", *kept, F.inline(swapped))
+
+
+def permutation_importance(
+    model: PipelineModel,
+    test: DataFrame,
+    features: Sequence[str],
+    n_repeats: int = 20,
+    seed: int = C.DEFAULT_SEED,
+    top_n: int = 20,
+    label_col: str = LABEL,
+    id_col: str = "hadm_id",
+    **prefix_kw,
+) -> DataFrame:
+    """Accuracy drop when one raw feature is permuted, mean and population std over repeats.
+
+    All (feature, repeat) copies (:func:`permuted_copies`) are one long table scored in a
+    single ``transform``.  A repeat's permutation pairs row position i (id order) with the
+    row at position i of a seeded hash order."""
+    base, copies = permuted_copies(test, features, n_repeats, seed, id_col, **prefix_kw)
+    baseline = model.transform(base).select(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc0"))
     scored = model.transform(copies)
     acc = scored.groupBy("_feature", "_r").agg(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc"))
     drops = acc.crossJoin(F.broadcast(baseline)).withColumn("_d", F.col("_acc0") - F.col("_acc"))

@@ -46,7 +46,14 @@ def resolve_policy(
     name_default = str(meta.get("primary_model_name", C.FINAL_MODEL_NAME))
     base = spark.range(1).select(F.lit(bal_default).alias("_bd"), F.lit(rec_default).alias("_rd"), F.lit(name_default).alias("_nd"))
     if marked_tuning is not None:
-        t = marked_tuning if model is None else marked_tuning.where(F.col("model") == model)
+        # Thresholds of the named model: the argument's, else the card's or bundle's; a table
+        # of a single model needs no name.
+        name = F.lit(model) if model is not None else F.lit(name_default)
+        if model is None and card is not None:
+            marked_tuning = marked_tuning.crossJoin(F.broadcast(card.agg(F.first("final_model_name").alias("_named"))))
+            name = F.coalesce(F.col("_named"), name)
+        models = marked_tuning.agg(F.min("model").alias("_lo"), F.max("model").alias("_hi"))
+        t = marked_tuning.crossJoin(F.broadcast(models)).where((F.col("model") == name) | ((F.col("_lo") == F.col("_hi")) & F.lit(model is None)))
         picked = t.agg(
             F.min(F.when(F.col("is_balanced") == 1, F.col("threshold"))).alias("_bt"),
             F.min(F.when(F.col("is_recall_priority") == 1, F.col("threshold"))).alias("_rt"),
@@ -98,3 +105,38 @@ def score_admissions(
         feats = engineer_demographic_features(engineer_admission_time_features(df))
         scored = add_heuristic_score(feats, **heuristic_kw).withColumn("score_source", F.lit("heuristic"))
     return apply_policy(scored, policy)
+
+
+def score_from_artifacts(
+    spark: SparkSession,
+    admissions: DataFrame,
+    patients: DataFrame | None,
+    bundle_folder: str,
+    tables_folder: str | None = None,
+    **heuristic_kw,
+) -> DataFrame:
+    """Score a whole admissions table from what a batch run saved: the model bundle, the
+    decision card and the marked tuning table.  Without a usable bundle or model the rows
+    get the heuristic score; without the tables the bundle's, then the fixed thresholds."""
+    from staylens.operators.cohort import derive_stay_columns, merge_admissions_patients
+    from staylens.operators.features import normalize_categorical_labels
+    from staylens.sources.artifacts import load_model_bundle
+    from staylens.sources.tables import path_exists, read_table
+
+    def saved(name: str) -> DataFrame | None:
+        for ext in ("parquet", "csv"):
+            path = f"{str(tables_folder).rstrip('/')}/{name}.{ext}"
+            if tables_folder and path_exists(spark, path):
+                return read_table(spark, path)
+        return None
+
+    bundle = load_model_bundle(spark, bundle_folder)
+    tuning, card = saved("threshold_tuning"), saved("final_model_card")
+    if tuning is not None:
+        tuning = tuning.withColumns({"threshold": F.col("threshold").cast("double"), "is_balanced": F.col("is_balanced").cast("int"), "is_recall_priority": F.col("is_recall_priority").cast("int")})
+    policy = resolve_policy(spark, tuning, bundle, card)
+    name = policy.first()["final_model_name"]  # one row
+    model = (bundle or {}).get("models", {}).get(name)
+    rows = merge_admissions_patients(admissions, patients) if patients is not None else admissions
+    rows = normalize_categorical_labels(derive_stay_columns(rows))
+    return score_admissions(rows, policy, model=model, feature_columns=(bundle or {}).get("feature_columns"), **heuristic_kw)

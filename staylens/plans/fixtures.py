@@ -3,6 +3,8 @@ a scored relation built without training (three deterministic scores)."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +21,44 @@ HASH_MULTIPLIER = 7919
 HASH_MODULUS = 1000
 
 
+_HELD: list[DataFrame] = []
+_BUCKETS: dict = {}
+
+
 def reused(df: DataFrame) -> DataFrame:
     """Persist a relation that one query reads several times (bucket planning, one-row
-    thresholds, the main pass).  Blocks lost with an executor are recomputed from lineage."""
+    thresholds, the main pass); the next query releases it.  Blocks lost with an executor
+    are recomputed from lineage."""
+    _HELD.append(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def release() -> None:
+    """Unpersist what the query before has held."""
+    while _HELD:
+        held = _HELD.pop()
+        if held.sparkSession.sparkContext._jsc is not None:
+            held.unpersist()
+
+
+@contextmanager
+def bucket_rows(rows: int):
+    """Inside, the ordered operators take ``rows`` rows per bucket, so that small inputs
+    run the plan meant for large ones."""
+    _BUCKETS["rows_per_bucket"] = rows
+    try:
+        yield
+    finally:
+        _BUCKETS.clear()
+
+
 def relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return adapter_relations(spark, sf_dir)
 
 
 def cohort_sql(spark: SparkSession, sf_dir: str, with_patients: bool = True, ordered: bool = False) -> DataFrame:
     adm, pat = relations(spark, sf_dir)
-    cohort = reused(build_cohort_sql(adm, pat if with_patients else None))
+    cohort = build_cohort_sql(adm, pat if with_patients else None)
     return order_cohort(cohort) if ordered else cohort
 
 
@@ -42,7 +69,7 @@ def cohort_python(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cohort_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Python-mode cohort after categorical cleanup (the notebook's working table)."""
-    return reused(normalize_categorical_labels(cohort_python(spark, sf_dir)))
+    return normalize_categorical_labels(cohort_python(spark, sf_dir))
 
 
 def modeling_dataset(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
@@ -79,10 +106,11 @@ def scored_relation(cohort: DataFrame) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reused(scored_relation(cohort_sql(spark, sf_dir)))
+    return scored_relation(cohort_sql(spark, sf_dir))
 
 
 def bounded(df: DataFrame) -> tuple[DataFrame, dict]:
-    """The persisted relation and ``{"row_bound": n}``.  Counting it is the action that
+    """The relation, persisted since it is read again, and ``{"row_bound": n}``.  Counting it
     fills the cache; the bound then sizes every ordered step without another job."""
-    return df, {"row_bound": df.count()}
+    df = reused(df)
+    return df, {"row_bound": df.count(), **_BUCKETS}

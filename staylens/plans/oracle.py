@@ -586,3 +586,46 @@ mode_ AS (SELECT feature, v AS mode FROM (SELECT *, ROW_NUMBER() OVER (PARTITION
 SELECT feature, 'numeric' AS kind, {_r('median', 'median')}, {_r('mean', 'mean')}, {_r('std', 'std')}, CAST(NULL AS VARCHAR) AS mode FROM num
 UNION ALL
 SELECT feature, 'categorical', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), mode FROM mode_"""
+
+
+# ---- the plan for large inputs: the same results -----------------------------------------
+for _name in ("los_overall", "outlier_review", "pr_curve", "calibration", "split_counts", "subgroup_summary"):
+    SQL[f"{_name}_bucketed"] = SQL[_name]
+
+# ---- readers and writers --------------------------------------------------------------------
+SQL["admissions_parquet"] = BASE + "SELECT * FROM admissions"
+SQL["admissions_csv"] = BASE + "SELECT * REPLACE (NULLIF(language, '') AS language) FROM admissions"
+SQL["admissions_csv_gz"] = SQL["admissions_csv"]
+SQL["core_dataset_csv"] = BASE + """
+SELECT a.* REPLACE (NULLIF(a.language, '') AS language), p.gender, p.anchor_age, p.anchor_year
+FROM admissions a LEFT JOIN pat_first p ON a.subject_id IS NOT DISTINCT FROM p.subject_id"""
+_COHORT_ROUNDED = ", ".join(_r("los_days", "los_days") if c == "los_days" else c for c in C.COHORT_COLUMNS)
+_COHORT_CSV = ", ".join("NULLIF(language, '') AS language" if c == "language" else c for c in _COHORT_ROUNDED.split(", "))
+SQL["cohort_reload_parquet"] = BASE + f"SELECT {_COHORT_ROUNDED} FROM cohort_sql"
+SQL["cohort_reload_csv"] = BASE + f"SELECT {_COHORT_CSV} FROM cohort_sql"
+
+# ---- facts about fitted models -----------------------------------------------------------------
+_SPLIT = SQL["split_counts"].split("SELECT 'train' AS split", 1)[0]
+SQL["model_score_facts"] = _SPLIT + """
+SELECT m.model, label AS y_true, nc - ntrain AS n_rows, nc - ntrain AS n_in_range, nc - ntrain AS n_class_agrees, nc - ntrain AS n_reloaded_equal
+FROM fin CROSS JOIN (VALUES ('logistic_regression'), ('random_forest'), ('gradient_boosted_trees')) m(model) WHERE nc - ntrain > 0"""
+SQL["expanded_features"] = BASE + "SELECT feature FROM (" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature" for c in _NUMERIC]
+    + [f"SELECT DISTINCT '{c}_' || CAST({c} AS VARCHAR) FROM featured WHERE {c} IS NOT NULL" for c in _CATEGORICAL]
+) + ")"
+SQL["permuted_value_counts"] = BASE + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(r.r AS INTEGER) AS repeat, {c} AS value, COUNT(*) AS n_rows FROM featured CROSS JOIN range(3) r(r) GROUP BY 2, 3"
+    for c in ("admission_type", "insurance")
+)
+
+# ---- scoring job without artifacts ---------------------------------------------------------------
+SQL["artifact_scoring_fallback"] = BASE + f"""
+, rows_ AS (
+  SELECT * REPLACE ({_norm('admission_type')} AS admission_type, {_norm('insurance')} AS insurance) FROM (
+    SELECT a.*, p.anchor_age, p.anchor_year FROM admissions a LEFT JOIN pat_first p ON a.subject_id IS NOT DISTINCT FROM p.subject_id)
+), s AS (SELECT hadm_id, {_RULE_DEFAULT} AS p FROM rows_, LATERAL (SELECT {AGE} AS age_at_admit))
+SELECT hadm_id, {_r('p', 'risk_probability')}, CASE WHEN p >= CAST({C.FINAL_BALANCED_THRESHOLD} AS DOUBLE) THEN 1 ELSE 0 END AS predicted_class,
+       CASE WHEN p >= CAST({max(C.FINAL_BALANCED_THRESHOLD, C.FINAL_RECALL_PRIORITY_THRESHOLD)} AS DOUBLE) THEN 'High'
+            WHEN p >= CAST({min(C.FINAL_BALANCED_THRESHOLD, C.FINAL_RECALL_PRIORITY_THRESHOLD)} AS DOUBLE) * CAST({C.RISK_MODERATE_FACTOR} AS DOUBLE) THEN 'Moderate' ELSE 'Low' END AS risk_tier,
+       'heuristic' AS score_source
+FROM s"""

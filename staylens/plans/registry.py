@@ -7,6 +7,7 @@ in sums and averages do not hide real mismatches."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +24,21 @@ from staylens.operators.ml import (
     feature_names,
     logistic_importance,
     permutation_importance,
+    permuted_copies,
     predict_scores,
     preprocess_stats,
+    run_baseline_model_suite,
     split_counts,
     stratified_split,
     train_model,
 )
 from staylens.operators.outliers import long_stay_outlier_review
-from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy, score_admissions
+from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy, score_admissions, score_from_artifacts
 from staylens.plans import fixtures as X
+from staylens.session import checkpoint_dir
+from staylens.sources.artifacts import load_model_bundle, save_model_bundle
+from staylens.sources.sinks import save_dataframe, save_report_tables
+from staylens.sources.tables import load_admissions, load_cohort, load_core_admissions_dataset
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -53,8 +60,12 @@ def present(df: DataFrame) -> DataFrame:
 
 def query(name: str):
     def register(fn):
-        REGISTRY[name] = lambda spark, sf_dir: present(fn(spark, sf_dir))
-        REGISTRY[name].__doc__ = fn.__doc__
+        def run(spark, sf_dir):
+            X.release()
+            return present(fn(spark, sf_dir))
+
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = run
         return fn
 
     return register
@@ -442,3 +453,145 @@ def q_model_risk_scoring(spark, sf):
     featured, _ = X.modeling_dataset(spark, sf)
     scored = score_admissions(featured, policy, model=model, feature_columns=safe)
     return scored.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")
+
+
+# ---- the plan for large inputs, value-checked on small ones --------------------------------
+BUCKETED = ("los_overall", "outlier_review", "pr_curve", "calibration", "split_counts", "subgroup_summary")
+BUCKET_ROWS = 500
+
+
+def _bucketed(name: str) -> None:
+    def fn(spark, sf):
+        with X.bucket_rows(BUCKET_ROWS):
+            return REGISTRY[name](spark, sf)
+
+    fn.__doc__ = f"{REGISTRY[name].__doc__}  In buckets of {BUCKET_ROWS} rows, as for large inputs."
+    REGISTRY[f"{name}_bucketed"] = fn
+
+
+for _name in BUCKETED:
+    _bucketed(_name)
+
+
+# ---- readers and writers: written to the shared folder, read back --------------------------
+def _folder(spark) -> str:
+    return f"{checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+
+
+def _saved_admissions(spark, sf, suffix: str):
+    folder = _folder(spark)
+    save_dataframe(X.relations(spark, sf)[0], f"{folder}/admissions.{suffix}")
+    return load_admissions(spark, folder)
+
+
+@query("admissions_csv")
+def q_admissions_csv(spark, sf):
+    """S2 + S3 + S5 + S9: derived admissions as CSV and back."""
+    return _saved_admissions(spark, sf, "csv")
+
+
+@query("admissions_csv_gz")
+def q_admissions_csv_gz(spark, sf):
+    """S2 + S5 + S9: derived admissions as gz CSV and back."""
+    return _saved_admissions(spark, sf, "csv.gz")
+
+
+@query("admissions_parquet")
+def q_admissions_parquet(spark, sf):
+    """S2 + S5 + S9: derived admissions as Parquet and back."""
+    return _saved_admissions(spark, sf, "parquet")
+
+
+@query("core_dataset_csv")
+def q_core_dataset(spark, sf):
+    """S6 + S7: both tables as CSV, ids written with a fraction point, loaded and merged."""
+    adm, pat = X.relations(spark, sf)
+    folder = _folder(spark)
+    save_dataframe(adm.withColumn("subject_id", F.col("subject_id").cast("double")), f"{folder}/admissions.csv")
+    pointed = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("subject_id", "anchor_age", "anchor_year")}
+    save_dataframe(pat.withColumns(pointed), f"{folder}/patients.csv")
+    return load_core_admissions_dataset(spark, folder, folder)
+
+
+@query("cohort_reload_csv")
+def q_cohort_reload_csv(spark, sf):
+    """S11 + S12: the cohort written as CSV and reloaded."""
+    path = save_dataframe(X.cohort_sql(spark, sf), f"{_folder(spark)}/cohort.csv")
+    return load_cohort(spark, path)
+
+
+@query("cohort_reload_parquet")
+def q_cohort_reload_parquet(spark, sf):
+    """S11: the cohort written as Parquet and reloaded."""
+    path = save_report_tables({"cohort": X.cohort_sql(spark, sf)}, _folder(spark))["cohort"]
+    return load_cohort(spark, path)
+
+
+# ---- facts about fitted models that do not depend on the fit ---------------------------------
+@query("model_score_facts")
+def q_model_score_facts(spark, sf):
+    """M3-M6 + S10: small models of all kinds, saved and reloaded; per model and class the
+    test rows, scores inside [0, 1], classes equal to (score > 0.5), reloaded scores equal."""
+    train, test, safe, _ = _train_test(spark, sf)
+    models, scored, _ = run_baseline_model_suite(train, test, safe, num_trees=3, boost_rounds=2)
+    folder = _folder(spark)
+    save_model_bundle(spark, folder, models, {"feature_columns": safe})
+    again = None
+    for name, model in load_model_bundle(spark, folder)["models"].items():
+        part = predict_scores(model, test, name).select("model", "hadm_id", F.col("y_score").alias("again"))
+        again = part if again is None else again.unionByName(part)
+    s = F.col("y_score")
+    return scored.join(again, ["model", "hadm_id"]).groupBy("model", "y_true").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if((s >= 0) & (s <= 1)).alias("n_in_range"),
+        F.count_if(F.col("y_pred") == (s > 0.5).cast("int")).alias("n_class_agrees"),
+        F.count_if(s == F.col("again")).alias("n_reloaded_equal"),
+    )
+
+
+@query("expanded_features")
+def q_expanded_features(spark, sf):
+    """E14: expanded input names of a model fitted to the whole modeling table."""
+    featured, safe = X.modeling_dataset(spark, sf)
+    rows = X.reused(L.make_target_label(featured, "gt_7d"))
+    model = train_model(rows, safe, "logistic_regression")
+    names = [(n,) for n in feature_names(model, rows)]
+    return spark.createDataFrame(names, "feature string")
+
+
+@query("permuted_value_counts")
+def q_permuted_value_counts(spark, sf):
+    """E16: in every permuted copy the permuted column keeps its exact value counts."""
+    featured, _ = X.modeling_dataset(spark, sf)
+    featured, kw = X.bounded(featured)
+    _, copies = permuted_copies(featured, ["admission_type", "insurance"], 3, **kw)
+    value = F.when(F.col("_feature") == "insurance", F.col("insurance")).otherwise(F.col("admission_type"))
+    return copies.groupBy(F.col("_feature").alias("feature"), F.col("_r").alias("repeat"), value.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- scoring job from saved artifacts ----------------------------------------------------------
+@query("artifact_scoring_fallback")
+def q_artifact_fallback(spark, sf):
+    """R3 + R4 + R5 + R7: no bundle at hand, so every admission gets the heuristic score."""
+    adm, pat = X.relations(spark, sf)
+    scored = score_from_artifacts(spark, adm, pat, _folder(spark))
+    return scored.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")
+
+
+@query("artifact_scoring")
+def q_artifact_scoring(spark, sf):
+    """R2 + R3 + R4 + R5 + R7 + S10: bundle, card and tuning table saved, loaded, and used
+    to score all admissions."""
+    train, test, safe, kw = _train_test(spark, sf)
+    model = train_model(train, safe, "logistic_regression")
+    scored = X.reused(predict_scores(model, test, "logistic_regression"))
+    tuning = X.reused(E.threshold_tuning(scored))
+    selection = E.select_operating_thresholds(tuning)
+    card = E.final_recommendation_card(E.binary_metrics(scored, **kw), L.label_prevalence_table(X.cohort_sql(spark, sf), **kw), selection,
+                                       final_model_name="logistic_regression")
+    folder = _folder(spark)
+    save_report_tables({"threshold_tuning": E.mark_selected_thresholds(tuning, selection), "final_model_card": card}, f"{folder}/tables")
+    save_model_bundle(spark, f"{folder}/bundle", {"logistic_regression": model}, {"feature_columns": safe, "primary_model_name": "logistic_regression"})
+    adm, pat = X.relations(spark, sf)
+    out = score_from_artifacts(spark, adm, pat, f"{folder}/bundle", f"{folder}/tables")
+    return out.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")

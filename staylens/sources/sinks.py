@@ -14,11 +14,13 @@ def save_dataframe(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
     Spark writes a folder of part files under ``path``; nothing is funnelled through one
     task.  Any other suffix is an error."""
-    if path.endswith(".csv"):
-        # Full microsecond timestamps (the CSV default keeps milliseconds only).
+    if path.endswith((".csv", ".csv.gz")):
+        # Full microsecond timestamps (the CSV default keeps milliseconds only); quotes are
+        # doubled and blanks kept, as the reader expects.
         (
             df.write.mode(mode)
-            .option("header", True)
+            .options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .option("compression", "gzip" if path.endswith(".gz") else "none")
             .option("timestampNTZFormat", TIMESTAMP_FORMAT)
             .option("timestampFormat", TIMESTAMP_FORMAT)
             .csv(path)
@@ -26,8 +28,7 @@ def save_dataframe(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     elif path.endswith(".parquet"):
         df.write.mode(mode).parquet(path)
     else:
-        suffix = path.rsplit(".", 1)[-1] if "." in path.rsplit("/", 1)[-1] else ""
-        raise ValueError(f"Unsupported dataframe output suffix: .{suffix}" if suffix else "Unsupported dataframe output suffix: (none)")
+        raise ValueError(f"no writer for {path}: tables end in .csv, .csv.gz or .parquet")
     return path
 
 

@@ -3,6 +3,7 @@ timestamp coercion and required-column checks (schema only, no job)."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from staylens import config as C
 
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+
 # Target types of the known input columns (anything else is kept as read).
 ADMISSIONS_TYPES: dict[str, str] = {
     "subject_id": "bigint",
@@ -54,7 +57,7 @@ def resolve_table_path(spark: SparkSession, source: str, basename: str) -> str:
     ``<basename>.csv.gz``, ``.csv``, ``.parquet`` inside the folder ``source``."""
     source = str(source).rstrip("/")
     if not path_exists(spark, source):
-        raise FileNotFoundError(f"Path does not exist: {source}")
+        raise FileNotFoundError(f"no table or folder at {source}")
     if _is_table_path(spark, source):
         return source
     fs, hpath = _fs_and_path(spark, source)
@@ -63,8 +66,8 @@ def resolve_table_path(spark: SparkSession, source: str, basename: str) -> str:
             candidate = f"{source}/{basename}{ext}"
             if path_exists(spark, candidate):
                 return candidate
-        expected = [f"{basename}{ext}" for ext in C.SUPPORTED_TABLE_EXTENSIONS]
-        raise FileNotFoundError(f"Could not find `{basename}` table in directory: {source}. Expected one of: {expected}")
+        tried = ", ".join(f"{basename}{ext}" for ext in C.SUPPORTED_TABLE_EXTENSIONS)
+        raise FileNotFoundError(f"folder {source} holds none of {tried}")
     return source
 
 
@@ -78,24 +81,45 @@ def _null_tokens_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read by suffix.  CSV is read as text (no inference pass) with the NULL tokens
-    normalized; gz CSV cannot be split, so it is spread over the cluster after reading."""
+def _split_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with one record per line, all columns as text: files stay splittable.  A line
+    whose quotes do not pair up is part of a longer record; it raises instead of shifting
+    columns.  Every part file repeats the header, which names the columns."""
+    lines = spark.read.text(path)
+    head = next((r["value"] for r in lines.where(F.trim("value") != "").take(1)), None)  # one line
+    if head is None:
+        return spark.createDataFrame([], T.StructType([]))
+    names = next(csv.reader([head.lstrip("\ufeff")]))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    line = F.when(quotes % 2 == 0, F.col("value")).otherwise(
+        F.raise_error(F.lit(f"{path}: a quoted value spans lines; read this file with multi_line=True"))
+    )
+    records = lines.where((F.trim("value") != "") & (F.col("value") != head))
+    return records.select(F.from_csv(line, _ddl(schema), CSV_DIALECT).alias("r")).select("r.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema.fields)
+
+
+def read_table(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Read by suffix.  CSV is read as text (no inference pass) with ``"`` as quote and
+    escape and the NULL tokens normalized; ``multi_line`` allows line breaks inside quoted
+    values, at the price of one task per file.  gz CSV cannot be split, so it is spread over
+    the cluster after reading."""
     if path.endswith(".csv.gz") or path.endswith(".csv"):
-        df = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("multiLine", False)
-            .csv(path)
-        )
+        if multi_line:
+            df = spark.read.options(**CSV_DIALECT, header=True, multiLine=True).csv(path)
+        else:
+            df = _split_csv(spark, path)
         df = _null_tokens_to_null(df)
         if path.endswith(".gz"):
             df = df.repartition(spark.sparkContext.defaultParallelism)
         return df
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported file extension for {path}. Supported: .csv, .csv.gz, .parquet")
+    raise ValueError(f"no reader for {path}: tables end in .csv, .csv.gz or .parquet")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -108,15 +132,41 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+def _typed(name: str, target: str):
+    """The column as ``target``; text that is no such value becomes NULL.  Whole numbers
+    may be written with a fraction point (``65.0``), as nullable integers often are."""
+    direct = F.expr(f"try_cast(`{name.replace('`', '``')}` AS {target})")
+    if target not in ("int", "bigint"):
+        return direct
+    number = F.expr(f"try_cast(`{name.replace('`', '``')}` AS DOUBLE)")
+    whole = F.when(number == F.floor(number), number)
+    return F.coalesce(direct, whole.try_cast(target))
+
+
 def coerce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """try_cast the known columns that are present (bad values become NULL)."""
-    exprs = {}
-    for name, target in types.items():
-        if name in df.columns and df.schema[name].dataType.simpleString() != target:
-            exprs[name] = F.expr(f"try_cast(`{name}` AS {target})")
+    """The known columns that are present in their types (bad values become NULL)."""
+    exprs = {
+        name: _typed(name, target)
+        for name, target in types.items()
+        if name in df.columns and df.schema[name].dataType.simpleString() != target
+    }
     return df.withColumns(exprs) if exprs else df
 
 
+def coercion_report(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """column, n_values, n_lost: how many non-NULL values :func:`coerce_types` turns NULL."""
+    present = [(n, t) for n, t in types.items() if n in df.columns]
+    rows = F.array(*[
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count(F.col(n)).alias("n_values"),
+            F.count_if(F.col(n).isNotNull() & _typed(n, t).isNull()).alias("n_lost"),
+        )
+        for n, t in present
+    ])
+    return df.agg(rows.alias("r")).select(F.inline("r"))
+
+
 def parse_datetime_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Present columns become TIMESTAMP_NTZ; unparseable text becomes NULL.
 
@@ -139,7 +189,7 @@ def parse_datetime_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def validate_required_columns(df: DataFrame, required: Iterable[str], name: str) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"{name} is missing required columns: {missing}. Available columns: {list(df.columns)}")
+        raise ValueError(f"table {name!r} lacks {', '.join(missing)}; it has {', '.join(df.columns)}")
 
 
 def prepare_admissions(df: DataFrame) -> DataFrame:
@@ -154,12 +204,12 @@ def prepare_patients(df: DataFrame) -> DataFrame:
     return df
 
 
-def load_admissions(spark: SparkSession, source: str) -> DataFrame:
-    return prepare_admissions(read_table(spark, resolve_table_path(spark, source, C.ADMISSIONS_TABLE_BASENAME)))
+def load_admissions(spark: SparkSession, source: str, multi_line: bool = False) -> DataFrame:
+    return prepare_admissions(read_table(spark, resolve_table_path(spark, source, C.ADMISSIONS_TABLE_BASENAME), multi_line))
 
 
-def load_patients(spark: SparkSession, source: str) -> DataFrame:
-    return prepare_patients(read_table(spark, resolve_table_path(spark, source, C.PATIENTS_TABLE_BASENAME)))
+def load_patients(spark: SparkSession, source: str, multi_line: bool = False) -> DataFrame:
+    return prepare_patients(read_table(spark, resolve_table_path(spark, source, C.PATIENTS_TABLE_BASENAME), multi_line))
 
 
 def load_core_admissions_dataset(spark: SparkSession, admissions_source: str, patients_source: str) -> DataFrame:

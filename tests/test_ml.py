@@ -89,3 +89,27 @@ def test_split_at_scale_equals_small_path(planted):
     small = {r["hadm_id"]: r["split"] for r in M.stratified_split(planted).select("hadm_id", "split").collect()}
     big = {r["hadm_id"]: r["split"] for r in M.stratified_split(planted, rows_per_bucket=300).select("hadm_id", "split").collect()}
     assert small == big
+
+
+def test_split_is_the_same_at_every_size(spark):
+    rows = [(i % 30 if i % 11 else None, i % 3 % 2, i) for i in range(1000)]  # few ids, NULL ids
+    df = spark.createDataFrame(rows, "hadm_id long, target_long_stay int, x int")
+    for size in (0.25, 0.33):
+        results = []
+        for kw in ({}, {"rows_per_bucket": 100}, {"rows_per_bucket": 7}):
+            out = M.stratified_split(df, test_size=size, **kw)
+            assert out.count() == 1000
+            results.append({(r["x"]) for r in out.where("split = 'test'").collect()})
+        assert len(results[0]) == int(np.ceil(size * 1000)) and results[0] == results[1] == results[2]
+
+
+def test_permuted_copies_are_permutations(spark, planted):
+    small = planted.limit(200).persist()
+    _, copies = M.permuted_copies(small, ["age_at_admit", "admission_type"], 3)
+    assert copies.count() == 200 * 6
+    want = sorted((r[0] for r in small.select("admission_type").collect()))
+    for r in range(3):
+        own = copies.where(f"_r = {r}")
+        assert sorted(x[0] for x in own.where("_feature = 'admission_type'").select("admission_type").collect()) == want
+        same = own.where("_feature = 'age_at_admit'").join(small.select("hadm_id", "admission_type"), ["hadm_id", "admission_type"])
+        assert same.count() == 200  # the other columns stay

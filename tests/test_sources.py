@@ -94,3 +94,36 @@ def test_cohort_round_trip(spark, tmp_dir, fmt):
     cols = ["hadm_id", "admittime", "dischtime", "los_days", "age_at_admit", "insurance"]
     norm = lambda rows: sorted((r[0], r[1], r[2], round(r[3], 9), r[4], r[5]) for r in rows)
     assert norm(back.select(*cols).collect()) == norm(cohort.select(*cols).collect())
+
+
+def test_quoted_values(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "q.csv")
+    with open(path, "w") as f:
+        f.write('a,b,c\n1,"say ""hi"", ok",x\n\n2,"",y\n')
+    rows = [tuple(r) for r in tables.read_table(spark, path).collect()]
+    assert rows == [("1", 'say "hi", ok', "x"), ("2", None, "y")]
+
+
+def test_line_break_in_a_value(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "m.csv")
+    with open(path, "w") as f:
+        f.write('a,b\n1,"two\nlines"\n2,z\n')
+    with pytest.raises(Exception, match="multi_line=True"):
+        tables.read_table(spark, path).collect()
+    assert [tuple(r) for r in tables.read_table(spark, path, multi_line=True).collect()] == [("1", "two\nlines"), ("2", "z")]
+
+
+def test_whole_numbers_with_a_fraction_point(spark):
+    df = spark.createDataFrame([("65.0", "10023.0"), ("65.5", "x"), (" 7 ", "9007199254740993"), (None, "1e3")], "anchor_age string, subject_id string")
+    got = [tuple(r) for r in tables.coerce_types(df, tables.PATIENTS_TYPES).collect()]
+    assert got == [(65, 10023), (None, None), (7, 9007199254740993), (None, 1000)]
+    report = {r["column"]: (r["n_values"], r["n_lost"]) for r in tables.coercion_report(df, tables.PATIENTS_TYPES).collect()}
+    assert report == {"anchor_age": (3, 1), "subject_id": (4, 1)}
+
+
+def test_csv_round_trip_keeps_text(spark, tmp_dir):
+    rows = [('a "b", c', " padded ", 1), ("x,y", None, 2)]
+    df = spark.createDataFrame(rows, "p string, q string, n int")
+    for suffix in ("csv", "csv.gz"):
+        path = sinks.save_dataframe(df, os.path.join(tmp_dir, f"t.{suffix}"))
+        assert sorted((r.p, r.q, int(r.n)) for r in tables.read_table(spark, path).collect()) == sorted(rows)
