@@ -7,7 +7,7 @@ each weighted by ``DECAY`` per letter it spans, so gaps and inserted characters
 a match; it is normalised to 1 for equal units.
 
 Training (labels of documents; a document is toxic through some of its units):
-1. Document frequencies of word stems over all training documents, per class.  The fewest
+1. Document frequencies of word stems over the training documents, per class.  The fewest
    significant stems that explain the toxic documents are landmarks, with frequent clean
    stems beside.
 2. A linear SVM (squared hinge) on the Nystroem features of units: the units of toxic
@@ -21,8 +21,8 @@ Training (labels of documents; a document is toxic through some of its units):
 The SVM on Nystroem features is a weighted sum of kernels with the landmarks, hence one
 weight per letter triple: scoring a unit needs neither landmarks nor pairs.
 
-Bounds: ``SAMPLE`` documents per class for steps 2 to 4, ``STEMS`` stems out of
-``CANDIDATES``, ``UNITS`` units; the frequencies of step 1 and all scores cover every row.
+Bounds of the fit: ``PER_CLASS`` labelled documents of each class, ``SAMPLE`` of them for
+steps 2 to 4, ``STEMS`` stems out of ``CANDIDATES``, ``UNITS`` units.  Scores cover every row.
 
 Cases: null, empty or letterless texts have no units and get the score of the curve at the
 lowest margin; without labels of both classes every score is 0; null ids are carried;
@@ -48,9 +48,10 @@ from .common import arrow_batches, packed, store, unpacked
 DECAY = 0.6
 LETTERS = 64
 WINDOW = 18  # letters of a unit compared at a time; longer units are read in overlapping windows
+PER_CLASS = 20_000  # labelled documents of a class to learn from
 SAMPLE = 3000
 ROUNDS = 4
-SHARE = 0.2  # least weight of the toxic class in the curve: a missed insult costs more
+SHARE = 0.2  # weight of the toxic class in the curve
 STEMS = 96
 UNITS = 6_000
 CANDIDATES = 2000
@@ -380,7 +381,7 @@ def train(labelled: DataFrame) -> Model:
         model = Model(kernel.alphabet, weights, float(w[-1]), [0.0] * 4, list(landmarks))
     rows = _apply(sample.select("id", "text", "toxic"), model, keep_toxic=True).collect()
     found = [(r.top, r.second, r.above) for r in rows]
-    model.curve = fit_curve(_curve_inputs(found), np.array([float(r.toxic) for r in rows]), max(SHARE, docs[1] / sum(docs))).tolist()
+    model.curve = fit_curve(_curve_inputs(found), np.array([float(r.toxic) for r in rows]), SHARE).tolist()
     return model
 
 
@@ -429,15 +430,21 @@ def _apply(rows: DataFrame, model: Model, keep_toxic: bool = False) -> DataFrame
     return rows.mapInArrow(batches, f"id {kind}" + ", toxic int" * keep_toxic + ", top double, second double, above long, n long, unit string, score double")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Stored (id, text, toxic): labelled documents outside the held-out fifth, one label each."""
+def training_rows(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS
+) -> DataFrame:
+    """Stored (id, text, toxic): at most ``per_class`` labelled ids of each class, by hash
+    order, outside the held-out fifth.  The bounded id list is broadcast, so no text of
+    ``docs`` is shuffled."""
     marks = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
         .where(~held_out("id"))
     )
+    order = F.xxhash64(F.lit("toxicity labels"), "id")
+    chosen = marks.where("toxic = 1").orderBy(order).limit(per_class).union(marks.where("toxic = 0").orderBy(order).limit(per_class))
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return own.join(marks, "id")
+    return store(own.join(F.broadcast(store(chosen, "toxicity-ids")), "id"), "toxicity-training")
 
 
 def held_out(id_col: str, folds: int = 5):
