@@ -629,3 +629,26 @@ SELECT hadm_id, {_r('p', 'risk_probability')}, CASE WHEN p >= CAST({C.FINAL_BALA
             WHEN p >= CAST({min(C.FINAL_BALANCED_THRESHOLD, C.FINAL_RECALL_PRIORITY_THRESHOLD)} AS DOUBLE) * CAST({C.RISK_MODERATE_FACTOR} AS DOUBLE) THEN 'Moderate' ELSE 'Low' END AS risk_tier,
        'heuristic' AS score_source
 FROM s"""
+
+# ---- rows on which the two cohort modes differ ------------------------------------------------
+_EDGES = ADAPTER.replace("admissions AS (", "admissions0 AS (").replace("patients AS (", "patients0 AS (") + """,
+padded AS (
+  SELECT * REPLACE (CASE WHEN hadm_id % 90 = 11 THEN chr(160) || language || chr(9) ELSE language END AS language) FROM admissions0
+),
+admissions AS (
+  SELECT * FROM padded
+  UNION ALL SELECT * REPLACE (admittime - INTERVAL 2 HOUR AS admittime, CAST(NULL AS TIMESTAMP) AS dischtime) FROM padded WHERE hadm_id % 60 = 7
+  UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS subject_id, hadm_id + 2000000000 AS hadm_id) FROM padded WHERE hadm_id % 200 = 3
+  UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS hadm_id) FROM padded WHERE hadm_id % 400 = 5
+),
+patients AS (
+  SELECT * FROM patients0
+  UNION ALL SELECT subject_id, gender, CAST(anchor_age + 1 AS INTEGER), anchor_year FROM patients0 WHERE subject_id % 13 = 0
+  UNION ALL SELECT CAST(NULL AS BIGINT), 'F', 40, 2020
+)"""
+_EDGE_BASE = BASE.replace(ADAPTER, _EDGES)
+SQL["cohort_sql_edges"] = _EDGE_BASE + f"SELECT {_COHORT_ROUNDED} FROM cohort_sql"
+SQL["cohort_py_edges"] = _EDGE_BASE + f"SELECT {_COHORT_ROUNDED} FROM cohort_py"
+SQL["language_edges"] = _EDGE_BASE + """
+SELECT CASE WHEN t = '' THEN 'Unknown' ELSE t END AS language, COUNT(*) AS n_rows
+FROM (SELECT trim(COALESCE(language, 'Unknown'), chr(160) || chr(9) || ' ') AS t FROM admissions) GROUP BY 1"""

@@ -36,6 +36,8 @@ from staylens.operators.outliers import long_stay_outlier_review
 from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy, score_admissions, score_from_artifacts
 from staylens.plans import fixtures as X
 from staylens.session import checkpoint_dir
+from staylens.operators.cohort import build_cohort_python, build_cohort_sql
+from staylens.sources.adapter import edge_relations
 from staylens.sources.artifacts import load_model_bundle, save_model_bundle
 from staylens.sources.sinks import save_dataframe, save_report_tables
 from staylens.sources.tables import load_admissions, load_cohort, load_core_admissions_dataset
@@ -595,3 +597,25 @@ def q_artifact_scoring(spark, sf):
     adm, pat = X.relations(spark, sf)
     out = score_from_artifacts(spark, adm, pat, f"{folder}/bundle", f"{folder}/tables")
     return out.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")
+
+
+# ---- rows on which the two cohort modes differ ---------------------------------------------------
+@query("cohort_sql_edges")
+def q_cohort_sql_edges(spark, sf):
+    """P5 SQL mode on the edge rows: an invalid first row drops the admission, NULL subjects
+    match nobody, duplicated patients fan out."""
+    return build_cohort_sql(*edge_relations(spark, sf))
+
+
+@query("cohort_py_edges")
+def q_cohort_py_edges(spark, sf):
+    """P5 Python mode on the edge rows: later valid rows survive, NULL subjects match the
+    NULL patient, one row per patient."""
+    return build_cohort_python(*edge_relations(spark, sf))
+
+
+@query("language_edges")
+def q_language_edges(spark, sf):
+    """P9 cleanup of text padded with a no-break space and a tab."""
+    adm, _ = edge_relations(spark, sf)
+    return normalize_categorical_labels(adm).groupBy("language").agg(F.count(F.lit(1)).alias("n_rows"))

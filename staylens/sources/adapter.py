@@ -93,3 +93,31 @@ def adapter_relations(spark: SparkSession, sf_dir: str, **prefix_kw) -> tuple[Da
     events = read_driver_table(spark, sf_dir, "events")
     customer = read_driver_table(spark, sf_dir, "customer")
     return admissions_from_events(events, **prefix_kw), patients_from_customers(customer)
+
+
+def edge_relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The adapter relations with the rows on which the cohort modes differ: a first row
+    without discharge, NULL subjects and ids, duplicated and NULL patients, and text padded
+    with a no-break space and a tab."""
+    adm, pat = adapter_relations(spark, sf_dir)
+    hid = F.col("hadm_id")
+    adm = adm.withColumn("language", F.when(hid % 90 == 11, F.concat(F.lit("\u00a0"), F.col("language"), F.lit("\t"))).otherwise(F.col("language")))
+    branches = F.filter(
+        F.array(*[F.lit(i) for i in range(4)]),
+        lambda b: (b == 0) | ((b == 1) & (hid % 60 == 7)) | ((b == 2) & (hid % 200 == 3)) | ((b == 3) & (hid % 400 == 5)),
+    )
+    rows = adm.withColumn("_b", F.explode(branches))
+    b = F.col("_b")
+    rows = rows.withColumns(
+        {
+            "admittime": F.when(b == 1, F.col("admittime") - F.expr("INTERVAL 2 HOURS")).otherwise(F.col("admittime")),
+            "dischtime": F.when(b != 1, F.col("dischtime")),
+            "subject_id": F.when(b != 2, F.col("subject_id")),
+            "hadm_id": F.when(b == 2, hid + F.lit(2 * NEGATIVE_ID_SHIFT)).when(b != 3, hid),
+        }
+    ).drop("_b")
+    twice = pat.where(F.col("subject_id") % 13 == 0).withColumn("anchor_age", (F.col("anchor_age") + 1).cast("int"))
+    nobody = pat.sparkSession.range(1).select(
+        F.lit(None).cast("bigint").alias("subject_id"), F.lit("F").alias("gender"), F.lit(40).alias("anchor_age"), F.lit(2020).alias("anchor_year")
+    )
+    return rows.select(*[c for c in adm.columns]), pat.union(twice).union(nobody)
