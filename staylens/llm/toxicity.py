@@ -335,16 +335,16 @@ def _cover(toxic: DataFrame, stems: list[tuple[str, float]], least: float) -> li
 
 def train(labelled: DataFrame) -> Model:
     """Model from rows (id, text, toxic in 0 and 1)."""
-    arrow_batches(labelled.sparkSession)
+    spark = labelled.sparkSession
+    arrow_batches(spark)
     numbers = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     docs = (numbers.get(0, 0), numbers.get(1, 0))
     if not all(docs):
         return Model("", np.zeros(LETTERS**3, np.float32), FLOOR, [-30.0, 0.0, 0.0, 0.0])
     order = F.xxhash64(F.lit("toxicity sample"), "id")
-    sample = store(
-        labelled.where("toxic = 1").orderBy(order).limit(SAMPLE).union(labelled.where("toxic = 0").orderBy(order).limit(SAMPLE)),
-        "toxicity-sample",
-    )
+    chosen = labelled.where("toxic = 1").orderBy(order).limit(SAMPLE).union(labelled.where("toxic = 0").orderBy(order).limit(SAMPLE))
+    # A limit ends in one task; the passes over the sample should not.
+    sample = store(chosen.repartition(max(4, spark.sparkContext.defaultParallelism), "id"), "toxicity-sample")
     bad, good = _stems(labelled, sample, docs)
     units = _sample_units(sample, bad)
     letters = Counter(c for u, _, _ in units for c in u)
