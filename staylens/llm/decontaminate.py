@@ -2,12 +2,14 @@
 
 Words become typed placeholders: numbers, units behind a number, and names (capitalised
 words that do not open a sentence).  Windows of ``WINDOW`` canonical words of documents and
-items meet by their 64-bit hashes.  Where they meet, the slots (placeholders) are lined up:
-every value of the item must stand for one value of the document, and different names for
-different names; windows that break the most frequent assignment do not count.  A document
-is contaminated by an item if consistent windows cover ``SIMILARITY`` of the item's windows
-within a stretch of the document that is at most ``STRETCH`` times as long as the item.  So
-verbatim passages and re-parameterised questions are found alike.
+items meet by their 64-bit hashes.  Where they meet, the slots (placeholders) are lined up,
+in each stretch of the document that is at most ``STRETCH`` times as long as the item by
+itself: every value of the item must stand for one value of the stretch, and different
+names for different names; windows that break the assignment do not count.  The most
+frequent values are tried, then those of each alignment of item and stretch, and the best
+counts.  A document is contaminated by an item if in one stretch consistent windows cover
+``SIMILARITY`` of the item's windows.  So verbatim passages and re-parameterised questions
+are found alike, however often a document repeats the template.
 
 A window with fewer than ``LITERALS`` ordinary words is hashed by its own words, so runs of
 numbers or names are no template.  An item shorter than a window is one window as a whole.
@@ -147,31 +149,81 @@ class ItemIndex:
         return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
 
-def _consistent(index: ItemIndex, found: Templates, item: int, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, int]:
-    """Which meetings agree with the most frequent slot assignment; number of slots."""
-    size, base = int(index.size[item]), int(index.first[item])
-    step = np.arange(size)
-    mine, theirs = base + place[:, None] + step, at[:, None] + step
-    slot = index.templates.kind[mine] > 0
-    a, b = index.templates.words.hash[mine], found.words.hash[theirs]
-    kinds = index.templates.kind[mine]
-    pairs = Counter(zip(kinds[slot].tolist(), a[slot].tolist(), b[slot].tolist(), strict=True))
+def _stretches(at: np.ndarray, place: np.ndarray, span: int, need: int) -> list[tuple[int, int, int]]:
+    """(distinct windows, low, high) of every longest run of meetings within ``span`` words
+    that holds ``need`` windows, fullest first; ``at`` ascends."""
+    ends = np.searchsorted(at, at + span, side="right")
+    at_end, have, high, out = 0, Counter(), 0, []
+    places = place.tolist()
+    for low, end in enumerate(ends.tolist()):
+        while high < end:
+            have[places[high]] += 1
+            high += 1
+        if end > at_end and len(have) >= need:
+            out.append((len(have), low, end))
+        at_end = max(at_end, end)
+        have[places[low]] -= 1
+        if not have[places[low]]:
+            del have[places[low]]
+    return sorted(out, key=lambda r: (-r[0], r[1]))
+
+
+def _assign(ranked: list[tuple[int, int, int]]) -> dict[tuple[int, int], int]:
+    """One value per slot, different ones for different names, the first ranked first."""
     value: dict[tuple[int, int], int] = {}
     taken: dict[int, int] = {}
-    for (kind, x, y), _ in sorted(pairs.items(), key=lambda p: (-p[1], p[0])):
+    for kind, x, y in ranked:
         if (kind, x) in value or (kind == NAME and taken.get(y, x) != x):
             continue
         value[kind, x] = y
         if kind == NAME:
             taken[y] = x
-    good = np.ones(len(at), bool)
-    for row in np.flatnonzero(slot.any(axis=1)):
-        own = slot[row]
-        good[row] = all(
-            value.get((k, x)) == y
-            for k, x, y in zip(kinds[row][own].tolist(), a[row][own].tolist(), b[row][own].tolist(), strict=True)
-        )
-    return good, len(value)
+    return value
+
+
+def _assignments(bound: list[list[tuple[int, int, int]]], lag: list[int]) -> Iterator[dict[tuple[int, int], int]]:
+    """Slot assignments of a stretch worth trying: the most frequent values, then for each
+    alignment (``lag``: first word less window of the item) the values nearest to it, so
+    that of several copies in the stretch each is read by its own values."""
+    votes = Counter(pair for pairs in bound for pair in pairs)
+    value = _assign(sorted(votes, key=lambda p: (-votes[p], p)))
+    yield value
+    if all(value.get((kind, x)) == y for kind, x, y in votes):
+        return
+    where: dict[tuple[int, int, int], set[int]] = {}
+    for pairs, own in zip(bound, lag, strict=True):
+        for pair in pairs:
+            where.setdefault(pair, set()).add(own)
+    for own, _ in Counter(lag).most_common():
+        yield _assign(sorted(votes, key=lambda p: (min(abs(g - own) for g in where[p]), -votes[p], p)))
+
+
+def _best(index: ItemIndex, found: Templates, item: int, at: np.ndarray, place: np.ndarray, span: int, need: int) -> tuple[int, int, int, int]:
+    """Most windows of the item within ``span`` words that agree with one slot assignment:
+    (number, first, last, slots).  The assignment is sought in each stretch by itself."""
+    order = np.lexsort((place, at))
+    at, place = at[order], place[order]
+    step = np.arange(int(index.size[item]))
+    mine, theirs = int(index.first[item]) + place[:, None] + step, at[:, None] + step
+    kinds = index.templates.kind[mine]
+    row, column = np.nonzero(kinds)
+    a, b = index.templates.words.hash[mine[row, column]], found.words.hash[theirs[row, column]]
+    bound: list[list[tuple[int, int, int]]] = [[] for _ in range(len(at))]
+    for r, *pair in zip(row.tolist(), kinds[row, column].tolist(), a.tolist(), b.tolist(), strict=True):
+        bound[r].append(tuple(pair))
+    lag = (at - place).tolist()
+    best = (0, 0, 0, 0)
+    for most, low, high in _stretches(at, place, span, need):
+        if most <= best[0]:
+            break
+        for value in _assignments(bound[low:high], lag[low:high]):
+            good = [r for r in range(low, high) if all(value.get((k, x)) == y for k, x, y in bound[r])]
+            met, first, last = _densest(at[good], place[good], span)
+            if met > best[0]:
+                best = (met, first, last, len(value))
+            if met == most:
+                break
+    return best
 
 
 def _densest(at: np.ndarray, place: np.ndarray, span: int) -> tuple[int, int, int]:
@@ -206,9 +258,8 @@ def matches(index: ItemIndex, texts: list[str], similarity: float = SIMILARITY,
         need = math.ceil(similarity * int(index.count[i]) - 1e-9)
         if len(np.unique(place[group])) < need:
             continue
-        good, slots = _consistent(index, found, i, at[group], place[group])
         words = int(index.first[i + 1] - index.first[i])
-        met, low, high = _densest(at[group][good], place[group][good], math.ceil(stretch * words))
+        met, low, high, slots = _best(index, found, i, at[group], place[group], math.ceil(stretch * words), need)
         if met >= need:
             last = high + int(index.size[i]) - 1
             out.append((d, i, met, int(index.count[i]), slots, int(found.words.start[low]), int(found.words.end[last])))

@@ -72,3 +72,19 @@ def test_odd_rows(spark):
     assert got == [(0, 7), (0, 7), (3, 7), (3, 7), (3, 7), (3, 7), (4, 7), (4, 7), (5, 0)]
     assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == [1, 2]
     assert D.contaminated(docs.limit(0), bench).count() == 0 and D.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_two_copies_of_a_template_are_read_by_themselves():
+    item = "Alice bought 12 apples and 30 pears while Bob sold 7 plums to Carol for 9 dollars"
+    other = "Maria bought 15 apples and 44 pears while Peter sold 8 plums to Susan for 6 dollars"
+    third = "Laura bought 21 apples and 55 pears while Frank sold 3 plums to Diana for 2 dollars"
+    index = D.ItemIndex(["once " + item])
+    windows = int(index.count[0])
+    filler = " ".join(f"filler{c}" for c in "abcdefgh") + " so "
+    for first, second in ((item, other), (other, item), (other, third)):
+        for gap in (filler * 40, filler, ""):
+            got = D.matches(index, ["once " + first + ". " + gap + "Now once " + second + "."])
+            assert [r[2] for r in got] == [windows], (first, second, len(gap))
+    # many copies, none of them whole: values of one copy do not help another
+    half = " ".join(item.split()[:9])
+    assert not D.matches(index, [" ".join("once " + half.replace("12", str(n)) + ". " + filler * 5 for n in range(20, 60))])
