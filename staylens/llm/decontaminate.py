@@ -1,8 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become typed placeholders: numbers, units behind a number, and names (capitalised
-words that do not open a sentence).  Windows of ``WINDOW`` canonical words of documents and
-items meet by their 64-bit hashes.  Where they meet, the slots (placeholders) are lined up,
+words).  Windows of ``WINDOW`` words of documents and items meet by their 64-bit hashes, in
+any of four readings: own words; numbers and units as placeholders; also capitalised words
+inside a sentence; also those that open a sentence or line.  So neither case nor line
+breaks hide a copy, and opening names are found.  Where they meet, the slots (placeholders) are lined up,
 in each stretch of the document that is at most ``STRETCH`` times as long as the item by
 itself: every value of the item must stand for one value of the stretch, and different
 names for different names; windows that break the assignment do not count.  The most
@@ -11,8 +13,10 @@ counts.  A document is contaminated by an item if in one stretch consistent wind
 ``SIMILARITY`` of the item's windows.  So verbatim passages and re-parameterised questions
 are found alike, however often a document repeats the template.
 
-A window with fewer than ``LITERALS`` ordinary words is hashed by its own words, so runs of
-numbers or names are no template.  An item shorter than a window is one window as a whole.
+A reading that leaves a window fewer than ``LITERALS`` ordinary words is not used, so runs
+of numbers or names are no template.  An item shorter than a window is one window as a
+whole.  In an item of a single window opening words are literal, since nothing else in it
+tells "Define" from a name.
 
 Scale: documents are never shuffled.  The item index goes to the executors in blocks of at
 most ``BLOCK_BYTES`` of benchmark text, each block a further pass over the documents, so a
@@ -46,6 +50,7 @@ BLOCK_BYTES = 4 << 20
 CHARS = 1 << 20  # of text canonicalised at a time
 
 NUMBER, UNIT, NAME = 1, 2, 3
+INNER, EVERY = 2, 3  # of the readings of a text
 
 # Common unit words that may follow a number.
 UNITS = """
@@ -60,41 +65,52 @@ dollar dollars euro euros cent cents
 
 @dataclass
 class Templates:
-    """Canonical words of texts: own hash, canonical hash and slot kind of each."""
+    """Words of texts, the slot kind of each in the widest reading (every capitalised word
+    is a name), and the kinds in the readings windows are hashed by, widest last."""
 
     words: Words
-    canon: np.ndarray
     kind: np.ndarray
+    readings: tuple[np.ndarray, ...]
 
     @classmethod
     def of(cls, texts: list[str]) -> Templates:
         words = Words(texts)
-        kind = np.zeros(len(words.hash), np.int8)
-        kind[words.capital & ~words.opens] = NAME
-        kind[words.number] = NUMBER
-        if len(kind) > 1:
+        own = np.zeros(len(words.hash), np.int8)
+        typed = own.copy()
+        typed[words.number] = NUMBER
+        if len(typed) > 1:
             unit = np.isin(words.hash, _unit_hashes()) & ~words.number
             follows = np.concatenate(([False], words.number[:-1] & (words.doc[1:] == words.doc[:-1])))
-            kind[unit & follows] = UNIT
-        canon = np.where(kind > 0, mix(kind.astype(np.uint64) + np.uint64(77)), words.hash)
-        return cls(words, canon, kind)
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of every window of ``size`` words inside one text."""
+            typed[unit & follows] = UNIT
+        inner = np.where((typed == 0) & words.capital & ~words.opens, np.int8(NAME), typed)
+        every = np.where((typed == 0) & words.capital, np.int8(NAME), typed)
+        return cls(words, every, (own, typed, inner, every))
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, hash, reading) of every window of ``size`` words inside one text, in
+        each reading that differs from the narrower ones."""
         n = len(self.kind) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        literal = np.concatenate(([0], np.cumsum(self.kind == 0)))
-        plain = (literal[size:] - literal[:-size]) < min(LITERALS, size)
-        hashes = []
-        for source in (self.canon, self.words.hash):
-            h = np.full(n, size, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
+        inside = np.flatnonzero(self.words.doc[:n] == self.words.doc[size - 1 :])
+        firsts, hashes, numbers = [], [], []
+        before = None
+        for number, kind in enumerate(self.readings):
+            at = inside
+            if before is not None:
+                changed = np.concatenate(([0], np.cumsum(kind != before)))
+                literal = np.concatenate(([0], np.cumsum(kind == 0)))
+                new = (changed[size:] > changed[:-size]) & (literal[size:] - literal[:-size] >= min(LITERALS, size))
+                at = inside[new[inside]]
+            source = np.where(kind > 0, mix(kind.astype(np.uint64) + np.uint64(77)), self.words.hash)
+            h = np.full(len(at), size, np.uint64)
             for k in range(size):
-                h = mix(h + source[k : k + n])
+                h = mix(h + source[at + k])
+            firsts.append(at)
             hashes.append(h)
-        inside = self.words.doc[:n] == self.words.doc[size - 1 :]
-        at = np.flatnonzero(inside)
-        return at, np.where(plain, hashes[1], hashes[0])[at]
+            numbers.append(np.full(len(at), number, np.int8))
+            before = kind
+        return np.concatenate(firsts), np.concatenate(hashes), np.concatenate(numbers)
 
 
 _units: list[np.ndarray] = []
@@ -118,8 +134,8 @@ class ItemIndex:
         self.count = np.maximum(sizes - window, 0) + 1
         hashes, items, places = [], [], []
         for size in np.unique(self.size[self.size > 0]):
-            at, h = self.templates.windows(int(size))
-            own = self.size[doc[at]] == size
+            at, h, reading = self.templates.windows(int(size))
+            own = (self.size[doc[at]] == size) & ((reading < EVERY) | (self.count[doc[at]] > 1))
             hashes.append(h[own])
             items.append(doc[at][own])
             places.append(at[own] - self.first[doc[at][own]])
@@ -127,6 +143,9 @@ class ItemIndex:
         self.sizes = [int(s) for s in np.unique(self.size[self.size > 0])]
         h = np.concatenate(hashes) if hashes else empty.astype(np.uint64)
         order = np.argsort(h, kind="stable")
+        # (kind, hash) of the words that are slots wherever they stand: no opening words
+        inner = self.templates.readings[INNER]
+        self.slots = set(zip(inner[inner > 0].tolist(), self.templates.words.hash[inner > 0].tolist(), strict=True))
         self.item = (np.concatenate(items) if items else empty)[order]
         self.place = (np.concatenate(places) if places else empty)[order]
         self.hash, self.begin, self.times = np.unique(h[order], return_index=True, return_counts=True)
@@ -134,10 +153,10 @@ class ItemIndex:
         self.bits[(self.hash & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
     def meetings(self, found: Templates) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word in the texts, item, window of the item) of every equal hash."""
+        """(first word in the texts, item, window of the item) that meet in any reading."""
         out = []
         for size in self.sizes:
-            at, h = found.windows(size)
+            at, h, _ = found.windows(size)
             maybe = self.bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)]
             at, h = at[maybe], h[maybe]
             slot = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
@@ -146,7 +165,14 @@ class ItemIndex:
             times = self.times[slot]
             entry = np.repeat(self.begin[slot], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             out.append((np.repeat(at, times), self.item[entry], self.place[entry]))
-        return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+        if not out:
+            return (np.zeros(0, np.int64),) * 3
+        at, item, place = (np.concatenate(c) for c in zip(*out, strict=True))
+        order = np.lexsort((place, item, at))  # a window may meet in several readings
+        at, item, place = at[order], item[order], place[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 0) | (np.diff(item) != 0) | (np.diff(place) != 0)
+        return at[new], item[new], place[new]
 
 
 def _stretches(at: np.ndarray, place: np.ndarray, span: int, need: int) -> list[tuple[int, int, int]]:
@@ -220,7 +246,9 @@ def _best(index: ItemIndex, found: Templates, item: int, at: np.ndarray, place:
             good = [r for r in range(low, high) if all(value.get((k, x)) == y for k, x, y in bound[r])]
             met, first, last = _densest(at[good], place[good], span)
             if met > best[0]:
-                best = (met, first, last, len(value))
+                # an opening word that stays the same is no slot
+                slots = sum(x != y or (k, x) in index.slots for (k, x), y in value.items())
+                best = (met, first, last, slots)
             if met == most:
                 break
     return best

@@ -88,3 +88,33 @@ def test_two_copies_of_a_template_are_read_by_themselves():
     # many copies, none of them whole: values of one copy do not help another
     half = " ".join(item.split()[:9])
     assert not D.matches(index, [" ".join("once " + half.replace("12", str(n)) + ". " + filler * 5 for n in range(20, 60))])
+
+
+def test_opening_names_case_and_line_breaks():
+    tom = "Tom has 5 apples. Tom buys 3 more. Ann takes 2. How many apples does Tom have?"
+    index = D.ItemIndex([tom, QUESTION])
+    full = [int(n) for n in index.count]
+
+    def met(text):
+        return {r[1]: r[2] for r in D.matches(index, ["Some words. " + text + "\nmore words"])}
+
+    assert met(tom) == {0: full[0]} and met(QUESTION) == {1: full[1]}
+    renamed = tom.replace("Tom", "Peter").replace("Ann", "Maria")
+    assert met(renamed) == {0: full[0]}
+    assert met(renamed.replace("5", "8").replace("3", "12")) == {0: full[0]}
+    for item, text in enumerate((tom, QUESTION)):
+        for form in (text.lower(), text.upper(), text.replace(" ", "\n"), text.title()):
+            assert met(form) == {item: full[item]}, form
+    other = QUESTION.replace("Alice", "Carol").replace("Bob", "Dan")
+    for name in ("Carol", "Dan"):
+        assert met(other.replace(f" {name}", f"\n{name}")) == {1: full[1]}
+    for form in (QUESTION.lower(), QUESTION.upper()):
+        assert met(form.replace("12", "14").replace("30", "44")) == {1: full[1]}
+    # one name for two people is no re-parameterisation
+    assert 0 not in met(tom.replace("Ann", "Tom").replace("Tom buys", "Ann buys"))
+
+
+def test_single_window_items_keep_their_opening_word():
+    index = D.ItemIndex(["Define gross margin", "Explain how rain is made"])
+    assert not D.matches(index, ["The gross margin. Tells how rain is made"])
+    assert len(D.matches(index, ["define Gross MARGIN, explain how\nRain is made"])) == 2
