@@ -12,9 +12,12 @@ link with each other (triangle inequality) and are counted without comparing.  T
 are compared with every member in tiles of about ``TILE`` x ``TILE`` vectors.
 
 Recall: a pair at cosine c agrees on a bit with probability 1 - acos(c) / pi; it is found
-in a pass when it agrees on about the first log2(n / WINDOW) bits.  With the defaults a
-pair at exactly 0.9 is missed in about 2 of 1000 cases among 50,000 vectors, one above
-0.97 practically never; more passes serve larger tables.
+in a pass when it agrees on about the first log2(2 n / WINDOW) bits (half a window of rows,
+as prefixes hold unequal numbers).  The passes follow from the counted number of vectors, so
+that among vectors spread over all directions a pair at the threshold is missed in about
+``MISS`` of the cases at any size; they run in rounds of at most ``ROUND``.  Where many
+vectors crowd into one direction without being linked, prefixes hold more rows than this
+assumes and more such pairs are missed.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing and are kept; vectors of different lengths never link; repeated rows are vectors of
@@ -24,6 +27,7 @@ none); an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +41,10 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, components, store
 
 THRESHOLD = 0.9
-PASSES = 24
+PASSES = 24  # at least
+ROUND = 32  # passes of one shuffle
 WINDOW = 64
+MISS = 0.002  # of the pairs at the threshold
 BITS = 63
 TILE = 256
 SEED = 17
@@ -56,6 +62,14 @@ def lengths(column: pa.Array) -> np.ndarray:
     return pc.list_value_length(column).to_numpy()
 
 
+def passes_for(n: int, window: int = WINDOW, threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """Passes after which a pair at the threshold among ``n`` spread-out vectors is missed
+    with probability ``miss``."""
+    agree = 1 - math.acos(threshold) / math.pi
+    found = agree ** math.log2(max(2 * n / window, 1.0))
+    return PASSES if found >= 1 else max(PASSES, math.ceil(math.log(miss) / math.log1p(-found)))
+
+
 def keys(vectors: np.ndarray, passes: int, seed: int) -> np.ndarray:
     """Sort key of every vector (rows) in every pass (columns)."""
     planes = np.random.default_rng([seed, vectors.shape[1]]).standard_normal((vectors.shape[1], passes * BITS))
@@ -236,11 +250,12 @@ def near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = THRESHOLD,
-    passes: int = PASSES,
+    passes: int | None = None,
     window: int = WINDOW,
     seed: int = SEED,
 ) -> DataFrame:
-    """(id, n_links, component_id, kept): one row per input row."""
+    """(id, n_links, component_id, kept): one row per input row.  Without ``passes``, as
+    many as :func:`passes_for` says."""
     spark = vectors.sparkSession
     arrow_batches(spark, ROWS)
     rows = store(
@@ -250,7 +265,13 @@ def near_duplicates(
     usable = rows.where(
         F.col("v").isNotNull() & (F.size("v") > 0) & ~F.coalesce(F.exists("v", bad), F.lit(True)) & F.exists("v", lambda c: c != 0)
     ).select("uid", "v")
-    labels = store(components(candidate_links(usable, threshold, passes, window, seed)).withColumnRenamed("id", "uid"), "labels")
+    passes = passes or passes_for(usable.count(), window, threshold)
+    found = None
+    for first in range(0, passes, ROUND):  # a round shuffles ROUND copies of the vectors at most
+        links = candidate_links(usable, threshold, min(ROUND, passes - first), window, seed + first)
+        links = store(links.distinct(), "round-links") if passes > ROUND else links
+        found = links if found is None else found.union(links)
+    labels = store(components(found).withColumnRenamed("id", "uid"), "labels")
     members = store(rows.join(labels, "uid").select("component", "uid", "id", "v"), "members")
     counts = count_links(members.select("component", "uid", "v"), threshold)
     names = store(members.groupBy("component").agg(F.min("id").alias("component_id")), "names")

@@ -69,3 +69,24 @@ def test_odd_rows(spark):
         + [(None, 1, None, False)] * 2, key=str)
     assert E.near_duplicates(df.limit(0)).count() == 0
     assert E.near_duplicates(df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))).count() == len(rows)
+
+
+def test_passes_follow_the_number_of_vectors():
+    agree = 1 - np.arccos(0.9) / np.pi
+    assert E.passes_for(0) == E.passes_for(1000) == 24
+    for n in (50_000, 10**6, 10**7, 10**8):
+        found = agree ** np.log2(2 * n / E.WINDOW)
+        assert (1 - found) ** E.passes_for(n) <= E.MISS < (1 - found) ** (E.passes_for(n) - 2)
+
+
+def test_default_passes_keep_the_miss_bound(spark):
+    rng, n, dim = np.random.default_rng(8), 4000, 64
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    w = rng.standard_normal((n, dim))
+    w -= (w * x).sum(1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    y = 0.9001 * x + np.sqrt(1 - 0.9001**2) * w  # pairs just above the threshold
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))], "vec_id long, embedding array<double>")
+    found = E.near_duplicates(df, window=1).where("n_links > 0").count() / 2  # a window as narrow as among 500,000 vectors
+    assert found >= n * (1 - 2.5 * E.MISS)
