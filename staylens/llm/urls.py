@@ -7,8 +7,10 @@ and suffix statistics (share of blocked URLs and number of URLs per host suffix
 labelled ones), trained from labelled URLs: those that rules decide, or a table given.
 Everything runs as DataFrame functions and Spark ML.
 
-Bound of the fit: ``SAMPLE`` distinct labelled URLs by hash order; the suffix statistics
-come from them, so their table is bounded and broadcast.  Every URL is judged.
+The suffix statistics count all distinct labelled URLs, with partial aggregates; their
+tables grow with the hosts and are joined, not broadcast by order.  Bound of the fit: the
+trees learn from ``SAMPLE`` distinct labelled URLs of each verdict, by hash order.  Every
+URL is judged.
 
 Cases: a null URL, or one without ``://``, has an empty host and path and no rule; without
 labelled URLs of both verdicts the trees' verdict is ``allow`` with score 0; repeated rows
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import store
 
-SAMPLE = 20_000
+SAMPLE = 20_000  # of each verdict
 TREES = 20
 DEPTH = 4
 SMOOTHING = 5.0
@@ -60,6 +62,14 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
+def _with_domain(urls: DataFrame) -> DataFrame:
+    labels = F.split("host", r"\.")
+    return urls.withColumns({
+        "suffix": F.element_at(labels, -1),
+        "domain": F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), F.lit(2)), "."),
+    })
+
+
 def features(urls: DataFrame) -> DataFrame:
     """Adds the lexical features to rows with url, host and path."""
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -71,7 +81,7 @@ def features(urls: DataFrame) -> DataFrame:
     words = F.split(url, "[^A-Za-z]+")
     safe = F.greatest(n, F.lit(1))
     labels = F.split("host", r"\.")
-    return urls.withColumns({
+    return _with_domain(urls).withColumns({
         "length": n.cast("double"),
         "host_length": F.length("host").cast("double"),
         "path_length": F.length("path").cast("double"),
@@ -88,23 +98,25 @@ def features(urls: DataFrame) -> DataFrame:
         "capitals": _count(url, "[A-Z]") / safe,
         "fragment": url.contains("#").cast("double"),
         "longest": F.aggregate(words, F.lit(0), lambda s, w: F.greatest(s, F.length(w))).cast("double"),
-        "suffix": F.element_at(labels, -1),
-        "domain": F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), F.lit(2)), "."),
     })
 
 
 def _with_statistics(rows: DataFrame, statistics: tuple[DataFrame, DataFrame]) -> DataFrame:
     for name, table in zip(("suffix", "domain"), statistics, strict=True):
-        rows = rows.join(F.broadcast(table), name, "left").na.fill({f"{name}_share": 0.5, f"{name}_count": 0.0})
+        rows = rows.join(table, name, "left").na.fill({f"{name}_share": 0.5, f"{name}_count": 0.0})
     return rows
 
 
-def _statistics(rows: DataFrame, name: str) -> DataFrame:
-    """Share blocked (smoothed) and log count per suffix; at most SAMPLE rows."""
-    share = (F.sum("label") + SMOOTHING / 2) / (F.count("*") + SMOOTHING)
-    return store(
-        rows.groupBy(name).agg(share.alias(f"{name}_share"), F.log1p(F.count("*").cast("double")).alias(f"{name}_count")), f"{name}-statistics"
-    )
+def _statistics(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Share blocked (smoothed) and log count per suffix: of half 0, of half 1, of all."""
+    sums = store(rows.groupBy(name, "half").agg(F.sum("label").alias("s"), F.count("*").alias("n")), f"{name}-sums")
+
+    def table(own: DataFrame, part: str) -> DataFrame:
+        share = (F.sum("s") + SMOOTHING / 2) / (F.sum("n") + SMOOTHING)
+        count = F.log1p(F.sum("n").cast("double"))
+        return store(own.groupBy(name).agg(share.alias(f"{name}_share"), count.alias(f"{name}_count")), f"{name}-statistics-{part}")
+
+    return table(sums.where("half = 0"), "0"), table(sums.where("half = 1"), "1"), table(sums, "all")
 
 
 class UrlModel:
@@ -112,20 +124,18 @@ class UrlModel:
 
     def __init__(self, labelled: DataFrame, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH):
         rows = labelled.where("url IS NOT NULL").groupBy("url").agg(F.max("label").cast("double").alias("label"))
-        rows = store(rows.orderBy(F.xxhash64("url"), "url").limit(sample), "labelled-urls")
-        counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "half": F.pmod(F.xxhash64("url"), F.lit(2))})
+        rows = store(_with_domain(rows), "labelled-urls")
+        chosen = [rows.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(sample) for label in (0, 1)]
+        parts = store(features(chosen[0].unionByName(chosen[1])), "url-features")
+        counts = {r.label: r.n for r in parts.groupBy("label").agg(F.count("*").alias("n")).collect()}
         self.model = None
         if len(counts) < 2:
             return
-        parts = features(rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}))
-        parts = store(parts, "url-features")
         # Statistics of one half describe the other, so that no row describes itself.
-        half = F.pmod(F.xxhash64("url"), F.lit(2)) == 0
-        halves = [
-            _with_statistics(parts.where(own), tuple(_statistics(parts.where(~own), s) for s in ("suffix", "domain")))
-            for own in (half, ~half)
-        ]
-        self.statistics = tuple(_statistics(parts, s) for s in ("suffix", "domain"))
+        found = [_statistics(rows, s) for s in ("suffix", "domain")]
+        halves = [_with_statistics(parts.where(f"half = {own}"), (found[0][1 - own], found[1][1 - own])) for own in (0, 1)]
+        self.statistics = (found[0][2], found[1][2])
         self.assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         train = store(halves[0].unionByName(halves[1]).select("label", *FEATURES).orderBy(F.xxhash64(*FEATURES)), "url-training")
         weight = F.when(F.col("label") == 1, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0]) * sum(counts.values())

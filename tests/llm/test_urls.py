@@ -67,3 +67,13 @@ def test_empty_and_one_sided(spark):
     got = U.judge(df, URL_RULES).collect()
     assert len(got) == 3 and all((r.verdict, r.block_score, r.rule) == ("allow", 0.0, None) for r in got)
     assert U.judge(df.limit(0), URL_RULES).count() == 0
+
+
+def test_statistics_count_all_labelled_urls(spark):
+    rows = [(f"http://h{i}.site{i % 40}.org/p{i}", 0) for i in range(2000)] + [(f"http://x.bad.org/q{i}", 1) for i in range(3)]
+    model = U.UrlModel(spark.createDataFrame(rows, "url string, label int"), sample=20, trees=2)
+    assert model.model is not None  # both verdicts are there, whatever the share of one
+    domain = {r.domain: (r.domain_share, round(float(2.718281828459045**r.domain_count)) - 1) for r in model.statistics[1].collect()}
+    assert len(domain) == 41 and domain["bad.org"][1] == 3 and all(domain[f"site{i}.org"][1] == 50 for i in range(40))
+    assert domain["bad.org"][0] == pytest.approx(5.5 / 8) and domain["site1.org"][0] == pytest.approx(2.5 / 55)
+    assert [r.suffix_count for r in model.statistics[0].collect()] == [pytest.approx(7.602900)]
