@@ -181,3 +181,44 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return score(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of all documents, as digests of the output and of the text
+    restored from it."""
+    from .fim import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op11_fill_in_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS x,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), hashed AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+         ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4
+  FROM units
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE pre || mid || suf END) AS restored_sha256
+FROM parts
+"""
