@@ -222,3 +222,12 @@ SELECT doc_id, n::BIGINT AS n, form,
        sha256(CASE form WHEN 'plain' THEN text ELSE pre || mid || suf END) AS restored_sha256
 FROM parts
 """
+
+
+@query
+def op13_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage to its rows."""
+    from .conversations import damage, diagnose
+
+    found = diagnose(damage(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id")
