@@ -231,3 +231,23 @@ def op13_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> Data
 
     found = diagnose(damage(table(spark, sf_dir, "conversations")))
     return found.withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back through the capture index."""
+    from .warc import read, write
+
+    pages = table(spark, sf_dir, "pages")
+    found = read(write(pages), pages, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op12_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM d
+"""
