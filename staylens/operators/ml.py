@@ -1,15 +1,16 @@
 """Model training and explanation with MLlib.
 
 * Split: exact stratified counts (train per class by largest remainder), membership by a
-  seeded hash order within each class, cut at one (hash, id) per class so the majority
-  class is never ordered in one task; rows sharing the cut's id are counted off.  Stable across runs and recomputation.
+  seeded digest's order within each class; the cuts of all classes are found by counting
+  leading bits, so no class is ever ordered as a whole.  Rows sharing a cut's id are counted
+  off.  Stable across runs, recomputation and engines.
 * Preprocessing: exact median (interpolated) and population standard deviation for
   numeric columns, the most frequent value (smallest on ties) for categorical columns,
   then alphabetical one-hot with unseen values mapped to an all-zero vector.  The fitted
   constants live in a ``SQLTransformer`` so the whole pipeline saves and loads.
-* Models: class-balanced logistic regression (L2 equal to C = 1, tolerance 1e-4 as the
-  reference solver's default), random forest and gradient-boosted trees, each a
-  ``PipelineModel`` with a weight column.
+* Models: class-balanced logistic regression (L2 equal to C = 1, taken to the optimum by
+  Newton steps), a random forest balanced within every bag (``forest.py``) and second-order
+  boosted trees (``boost.py``), each a ``PipelineModel``.
 """
 
 from __future__ import annotations
@@ -18,78 +19,120 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens import config as C
-from staylens.operators.ordered import OrderKey, assign_buckets, ordered_prefix, percentile_columns, plan_buckets
+from staylens.functions.draws import BITS, draw60
+from staylens.operators.boost import train_boosted
+from staylens.operators.forest import impurity_importance, train_forest, tree_nodes
+from staylens.operators.linear import coefficient_importance, delta_importance, linear_relation, permutation_pairs, refined
+from staylens.operators.ordered import OrderKey, ordered_prefix, percentile_columns
 
 LABEL = "target_long_stay"
 
 
+# Bits of the digest that one counting pass over the rows refines a class's cut by, and the
+# number of rows below which the cut is looked for row by row.
+CELL_BITS = 12
+CELL_ROWS = 100_000
+
+
 def stratified_split(
     df: DataFrame,
     label_col: str = LABEL,
     test_size: float = 0.20,
     seed: int = C.DEFAULT_SEED,
     id_col: str = "hadm_id",
+    cell_rows: int = CELL_ROWS,
     **prefix_kw,
 ) -> DataFrame:
     """Add ``split`` ('train' / 'test'): n_test = ceil(test_size * n); per-class train
-    counts floor(n_c * n_train / n) plus one for the largest remainders (ties by label)."""
+    counts floor(n_c * n_train / n) plus one for the largest remainders (ties by label).
+
+    A class's test part is its first rows by (60-bit digest of the id, id).  The cuts of all
+    classes are found together: rows are counted per leading bits of the digest, then inside
+    the cells that hold the cuts, and only the last small cells are ordered."""
     y = F.col(label_col)
-    counts = df.groupBy(y.alias("_y")).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
-    tot = Window.partitionBy()
-    alloc = counts.withColumn("_n", F.sum("_nc").over(tot))
-    alloc = alloc.withColumn("_ntest", F.ceil(F.lit(float(test_size)) * F.col("_n").cast("double")))
-    alloc = alloc.withColumn("_cont", F.col("_nc").cast("double") * (F.col("_n") - F.col("_ntest")).cast("double") / F.col("_n").cast("double"))
-    alloc = alloc.withColumn("_fl", F.floor("_cont"))
-    alloc = alloc.withColumn("_need", (F.col("_n") - F.col("_ntest")) - F.sum("_fl").over(tot))
-    alloc = alloc.withColumn("_rk", F.row_number().over(Window.orderBy(F.desc(F.col("_cont") - F.col("_fl")), F.col("_y"))))
-    alloc = alloc.select("_y", (F.col("_nc") - (F.col("_fl") + F.when(F.col("_rk") <= F.col("_need"), 1).otherwise(0))).alias("_test_c"))
-    keyed = df.withColumn("_y", y).withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
-    row_bound = prefix_kw.get("row_bound")
-    n = row_bound if row_bound is not None else keyed.count()
-    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
-    bucketed = assign_buckets(keyed, ["_y"], OrderKey("_h"), buckets, n, prefix_kw.get("seed", 17)) if buckets > 1 else None
-    if bucketed is None:
-        bucketed = keyed.select("*", F.struct("_y").alias("_gk"), F.lit(0).alias("_bucket"))
-    cut = _test_cutoffs(bucketed, alloc, id_col)
-    tagged = keyed.withColumn("_key", F.struct("_h", F.col(id_col).alias("_id"))).join(F.broadcast(cut), on="_y", how="left")  # one row per class
-    at_cut = F.coalesce(F.col("_key").eqNullSafe(F.col("_cut")) & F.col("_cut").isNotNull(), F.lit(False))
-    before = F.coalesce(F.col("_key") < F.col("_cut"), F.lit(False))
-    sure = tagged.where(~at_cut).withColumn("split", F.when(before, F.lit("test")).otherwise(F.lit("train")))
-    # Rows that share the cut's hash and id: as many as are still wanted, in an order over all
-    # columns (rows equal in all of them are interchangeable).
-    ties = tagged.where(at_cut).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    ties = ordered_prefix(ties, ["_y"], [OrderKey("_tie")], **{**prefix_kw, "n_rows": n})
-    ties = ties.withColumn("split", F.when(F.col("_pos") <= F.col("_take"), F.lit("test")).otherwise(F.lit("train")))
-    return sure.select(*df.columns, "split").union(ties.select(*df.columns, "split"))
-
-
-def _test_cutoffs(bucketed: DataFrame, alloc: DataFrame, id_col: str) -> DataFrame:
-    """Per class, the (hash, id) of its ``_test_c``-th row in hash order and how many rows
-    with that hash and id belong to the test part.  Per-bucket counts locate the one bucket
-    holding that rank; of it, only distinct (hash, id) with their counts are sorted."""
-    counts = bucketed.groupBy("_gk", "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
-    before = Window.partitionBy("_gk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_off", F.coalesce(F.sum("_bc").over(before), F.lit(0))).withColumn("_y", F.col("_gk._y"))
-    target = counts.join(F.broadcast(alloc), F.col("_gk._y").eqNullSafe(alloc["_y"])).where(
-        (F.col("_test_c") > F.col("_off")) & (F.col("_test_c") <= F.col("_off") + F.col("_bc"))
-    )  # one bucket per class with test rows
-    rows = bucketed.join(F.broadcast(target.select("_gk", "_bucket", "_off", "_test_c")), on=["_gk", "_bucket"], how="inner")
-    distinct = rows.groupBy("_gk", "_bucket", "_off", "_test_c", "_h", F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_w"))
-    local = Window.partitionBy("_gk", "_bucket").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = distinct.withColumn("_end", F.col("_off") + F.sum("_w").over(local))
-    hit = ends.where((F.col("_end") >= F.col("_test_c")) & (F.col("_end") - F.col("_w") < F.col("_test_c")))
-    return hit.select(
-        F.col("_gk._y").alias("_y"), F.struct("_h", "_id").alias("_cut"), (F.col("_test_c") - F.col("_end") + F.col("_w")).alias("_take")
-    )
+    keyed = df.withColumn("_h", draw60(seed, "split", F.col(id_col)))
+    counted = keyed.groupBy(y.alias("y"), F.shiftright("_h", BITS - CELL_BITS).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells: dict = {}
+    for r in counted.collect():  # at most 2^CELL_BITS rows a class
+        cells.setdefault(r.y, {})[r.cell] = r.n
+    wanted = _test_counts({c: sum(k.values()) for c, k in cells.items()}, test_size)
+    cuts = _cuts(keyed, y, id_col, cells, wanted, cell_rows)
+    key = F.struct("_h", F.col(id_col).alias("_id"))
+    split, partly = F.lit("train"), F.lit(False)
+    for c, (h, i, take, at) in cuts.items():
+        # Rows that share the cut's digest and id are taken together unless their number is cut.
+        cut = F.struct(F.lit(h).cast("long").alias("_h"), F.lit(i).cast(df.schema[id_col].dataType).alias("_id"))
+        mine = y.eqNullSafe(F.lit(c))
+        split = F.when(mine & F.coalesce((key <= cut) if take == at else (key < cut), F.lit(False)), F.lit("test")).otherwise(split)
+        if take < at:
+            partly = partly | (mine & key.eqNullSafe(cut))
+    if all(take == at for _, _, take, at in cuts.values()):
+        return keyed.withColumn("split", split).select(*df.columns, "split")
+    tagged = keyed.withColumns({"split": split, "_partly": partly})
+    # As many of the rows equal to a cut as are still wanted, in an order over all columns
+    # (rows equal in all of them are interchangeable).
+    ties = tagged.where("_partly").withColumn("_y", y).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ties = ordered_prefix(ties, ["_y"], [OrderKey("_tie")], **prefix_kw)
+    first = F.lit(False)
+    for c, (_, _, take, at) in cuts.items():
+        first = first | (F.col("_y").eqNullSafe(F.lit(c)) & (F.col("_pos") <= take))
+    ties = ties.withColumn("split", F.when(first, F.lit("test")).otherwise(F.lit("train")))
+    return tagged.where("NOT _partly").select(*df.columns, "split").union(ties.select(*df.columns, "split"))
+
+
+def _test_counts(counts: dict, test_size: float) -> dict:
+    """Test rows per class: what is left of the largest-remainder allocation to train."""
+    n = sum(counts.values())
+    n_train = n - math.ceil(float(test_size) * float(n))
+    share = {c: float(k) * float(n_train) / float(n) for c, k in counts.items()}
+    train = {c: math.floor(s) for c, s in share.items()}
+    order = sorted(share, key=lambda c: (-(share[c] - train[c]), c is not None, c if c is not None else 0))
+    for c in order[: n_train - sum(train.values())]:
+        train[c] += 1
+    return {c: counts[c] - train[c] for c in counts}
+
+
+def _cuts(keyed: DataFrame, y: Column, id_col: str, cells: dict, wanted: dict, cell_rows: int) -> dict:
+    """Per class with test rows: digest and id of its last test row, how many rows equal to
+    it belong to the test part, and how many there are."""
+    bits, at = CELL_BITS, {}
+    held = {c: dict(k) for c, k in cells.items() if wanted[c]}
+    before = dict.fromkeys(held, 0)
+    while True:
+        for c, counts in held.items():
+            for cell in sorted(counts):
+                if before[c] + counts[cell] >= wanted[c]:
+                    at[c] = (cell, counts[cell])
+                    break
+                before[c] += counts[cell]
+        if not at:
+            return {}
+        inside = F.lit(False)
+        for c, (cell, _) in at.items():
+            inside = inside | (y.eqNullSafe(F.lit(c)) & (F.shiftright("_h", BITS - bits) == cell))
+        rows = keyed.where(inside)
+        if max(n for _, n in at.values()) <= cell_rows or bits == BITS:
+            break
+        bits += CELL_BITS
+        held = {c: {} for c in at}
+        for r in rows.groupBy(y.alias("y"), F.shiftright("_h", BITS - bits).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect():
+            held[r.y][r.cell] = r.n  # at most 2^CELL_BITS rows a class
+    ids = rows.groupBy(y.alias("y"), "_h", F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))  # below cell_rows rows a class
+    upto = Window.partitionBy("y").orderBy("_h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ids.withColumn("end", F.sum("n").over(upto))
+    need = F.lit(None).cast("long")
+    for c in at:
+        need = F.when(F.col("y").eqNullSafe(F.lit(c)), F.lit(wanted[c] - before[c]).cast("long")).otherwise(need)
+    hit = ends.withColumn("need", need).where("end >= need AND end - n < need")
+    return {r.y: (r._h, r.id, r.need - (r.end - r.n), r.n) for r in hit.select("y", F.col("_h"), "id", "need", "end", "n").collect()}  # one row per class
 
 
 def split_counts(split_df: DataFrame, label_col: str = LABEL) -> DataFrame:
@@ -194,7 +237,7 @@ def class_weights(train: DataFrame, label_col: str = LABEL, scheme: str = "balan
     return counts.select(F.col("_y").alias(label_col), w.alias("weight"))
 
 
-def _with_weights(train: DataFrame, label_col: str, scheme: str) -> DataFrame:
+def with_weights(train: DataFrame, label_col: str, scheme: str) -> DataFrame:
     return train.join(F.broadcast(class_weights(train, label_col, scheme)), on=label_col, how="left")  # per class
 
 
@@ -207,32 +250,37 @@ def train_model(
     num_trees: int = 400,
     boost_rounds: int = 300,
     preprocessor: PipelineModel | None = None,
+    id_col: str = "hadm_id",
 ) -> PipelineModel:
     """kind: logistic_regression | random_forest | gradient_boosted_trees.  A fitted
     ``preprocessor`` (from :func:`fit_preprocessor` on the same rows) is reused if given."""
+    if kind == "gradient_boosted_trees":
+        return train_boosted(train, features, label_col, id_col, seed, boost_rounds).pipeline()
     pre = preprocessor if preprocessor is not None else fit_preprocessor(train, features)[0]
-    scheme = "pos_ratio" if kind == "gradient_boosted_trees" else "balanced"
-    weighted = _with_weights(train, label_col, scheme).withColumn(label_col, F.col(label_col).cast("double"))
-    prepared = pre.transform(weighted).select("features", label_col, "weight").cache()
+    weighted = with_weights(train, label_col, "balanced").withColumn(label_col, F.col(label_col).cast("double"))
+    prepared = pre.transform(weighted).select("features", label_col, "weight", id_col).cache()
     try:
         if kind == "logistic_regression":
             total_w = prepared.agg(F.sum("weight")).first()[0] or 1.0
             est = LogisticRegression(featuresCol="features", labelCol=label_col, weightCol="weight", maxIter=2000,
                                      regParam=1.0 / total_w, elasticNetParam=0.0, standardization=False, tol=1e-4)
+            fitted = refined(prepared, est.fit(prepared), label_col)
         elif kind == "random_forest":
-            est = RandomForestClassifier(featuresCol="features", labelCol=label_col, weightCol="weight", numTrees=num_trees,
-                                         minInstancesPerNode=3, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed)
-        elif kind == "gradient_boosted_trees":
-            est = GBTClassifier(featuresCol="features", labelCol=label_col, weightCol="weight", maxIter=boost_rounds,
-                                stepSize=0.05, maxDepth=4, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=seed)
+            fitted = train_forest(prepared, num_trees, label_col, id_col, seed=seed)
         else:
             raise ValueError(f"unknown model kind: {kind}")
-        fitted = est.fit(prepared)
     finally:
         prepared.unpersist()
     return PipelineModel(stages=[*pre.stages, fitted])
 
 
+def positive_probability(scored: DataFrame) -> Column:
+    """The positive class's probability, whether classes are a vector or an array."""
+    if isinstance(scored.schema["probability"].dataType, T.ArrayType):
+        return F.col("probability")[1]
+    return vector_to_array("probability")[1]
+
+
 def predict_scores(model: PipelineModel, df: DataFrame, name: str, label_col: str = LABEL, id_col: str = "hadm_id") -> DataFrame:
     """model, id, y_true, y_pred (class at 0.5), y_score (positive-class probability)."""
     out = model.transform(df)
@@ -241,7 +289,7 @@ def predict_scores(model: PipelineModel, df: DataFrame, name: str, label_col: st
         F.col(id_col),
         F.col(label_col).cast("int").alias("y_true"),
         F.col("prediction").cast("int").alias("y_pred"),
-        vector_to_array("probability")[1].alias("y_score"),
+        positive_probability(out).alias("y_score"),
     )
 
 
@@ -278,17 +326,14 @@ def feature_names(model: PipelineModel, sample: DataFrame) -> list[str]:
     return names
 
 
-def logistic_importance(spark: SparkSession, model: PipelineModel, names: list[str], top_n: int = 20) -> DataFrame:
-    coefs = model.stages[-1].coefficients.toArray().tolist()
-    rows = [(n, float(c), abs(float(c))) for n, c in zip(names, coefs)]
-    df = spark.createDataFrame(rows, "feature string, coefficient double, abs_coefficient double")
-    return df.orderBy(F.desc("abs_coefficient"), "feature").limit(top_n)
+def logistic_importance(spark: SparkSession, model: PipelineModel, top_n: int = 20) -> DataFrame:
+    """Coefficients of the expanded columns by absolute value."""
+    return coefficient_importance(linear_relation(spark, model), top_n)
 
 
-def tree_importance(spark: SparkSession, model: PipelineModel, names: list[str], top_n: int = 20) -> DataFrame:
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    df = spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)], "feature string, importance double")
-    return df.orderBy(F.desc("importance"), "feature").limit(top_n)
+def tree_importance(model: PipelineModel, names: list[str], top_n: int = 20) -> DataFrame:
+    """Impurity importance of a forest's columns, from its trees as a node table."""
+    return impurity_importance(tree_nodes(model.stages[-1]), names).orderBy(F.desc("importance"), "feature").limit(top_n)
 
 
 def permuted_copies(
@@ -301,16 +346,9 @@ def permuted_copies(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows by position, copies): every row once per feature and repeat (``_feature``,
     ``_r``), with that feature taken from another row of the repeat's permutation."""
-    spark = test.sparkSession
-    base = ordered_prefix(test, [], [OrderKey(id_col)], **prefix_kw).withColumnRenamed("_pos", "_i").persist(StorageLevel.MEMORY_AND_DISK)
-    reps = spark.range(n_repeats).select(F.col("id").cast("int").alias("_r"))
-    # One ordering per repeat serves every feature: position i takes its values from row _from.
-    n = prefix_kw.get("row_bound") or base.count()
-    keyed = base.select(F.col("_i").alias("_from")).crossJoin(F.broadcast(reps))  # n_repeats rows
-    keyed = keyed.withColumn("_h", F.xxhash64(F.lit(seed), F.col("_r"), F.col("_from")))
-    perm = ordered_prefix(keyed, ["_r"], [OrderKey("_h"), OrderKey("_from")], **{**prefix_kw, "row_bound": n * n_repeats})
+    base, pairs = permutation_pairs(test, n_repeats, seed, id_col, **prefix_kw)
     values = base.select(F.col("_i").alias("_from"), F.struct(*[F.col(f).alias(f) for f in features]).alias("_v"))
-    rows = perm.select("_r", F.col("_pos").alias("_i"), "_from").join(values, "_from").join(base, "_i")
+    rows = pairs.join(values, "_from").join(base, "_i")
     swapped = F.array(*[
         F.struct(F.lit(feat).alias("_feature"), *[(F.col(f"_v.{f}") if f == feat else F.col(f)).alias(f) for f in features]) for feat in features
     ])
@@ -331,9 +369,14 @@ def permutation_importance(
 ) -> DataFrame:
     """Accuracy drop when one raw feature is permuted, mean and population std over repeats.
 
-    All (feature, repeat) copies (:func:`permuted_copies`) are one long table scored in a
-    single ``transform``.  A repeat's permutation pairs row position i (id order) with the
-    row at position i of a seeded hash order."""
+    A linear model is scored by the change of one feature's contribution
+    (``linear.delta_importance``).  For others all (feature, repeat) copies
+    (:func:`permuted_copies`) are one long table scored in a single ``transform``.  A
+    repeat's permutation pairs row position i (id order) with the row at position i of a
+    seeded digest's order."""
+    if isinstance(model.stages[-1], LogisticRegressionModel):
+        relation = linear_relation(test.sparkSession, model)
+        return delta_importance(test, relation, features, n_repeats, seed, top_n, label_col, id_col, **prefix_kw)
     base, copies = permuted_copies(test, features, n_repeats, seed, id_col, **prefix_kw)
     baseline = model.transform(base).select(F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double")).alias("_acc0"))
     scored = model.transform(copies)
