@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staylens import config as C
 from staylens.functions.columns import heuristic_risk_score, risk_tier
 from staylens.operators.features import engineer_admission_time_features, engineer_demographic_features
+from staylens.operators.linear import score_by_relation
 
 
 def align_for_inference(df: DataFrame, feature_columns: Sequence[str]) -> DataFrame:
@@ -85,10 +86,10 @@ def apply_policy(scored: DataFrame, policy: DataFrame, prob_col: str = "risk_pro
 
 def score_with_model(model, df: DataFrame, feature_columns: Sequence[str], prob_col: str = "risk_probability") -> DataFrame:
     """Model probability of the positive class for every row (Arrow-free, JVM side)."""
-    from pyspark.ml.functions import vector_to_array
+    from staylens.operators.ml import positive_probability
 
-    aligned = align_for_inference(df, feature_columns)
-    return model.transform(aligned).withColumn(prob_col, vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction", "features")
+    out = model.transform(align_for_inference(df, feature_columns))
+    return out.withColumn(prob_col, positive_probability(out)).drop("probability", "rawPrediction", "prediction", "features")
 
 
 def score_admissions(
@@ -96,10 +97,14 @@ def score_admissions(
     policy: DataFrame,
     model=None,
     feature_columns: Sequence[str] | None = None,
+    relation: DataFrame | None = None,
     **heuristic_kw,
 ) -> DataFrame:
-    """Score a whole table with the model when usable, else the heuristic fallback."""
-    if model is not None and feature_columns:
+    """Score a whole table with a linear model's relation or with the model when usable,
+    else the heuristic fallback."""
+    if relation is not None and feature_columns:
+        scored = score_by_relation(align_for_inference(df, feature_columns), relation).withColumn("score_source", F.lit("model"))
+    elif model is not None and feature_columns:
         scored = score_with_model(model, df, feature_columns).withColumn("score_source", F.lit("model"))
     else:
         feats = engineer_demographic_features(engineer_admission_time_features(df))
@@ -136,7 +141,7 @@ def score_from_artifacts(
         tuning = tuning.withColumns({"threshold": F.col("threshold").cast("double"), "is_balanced": F.col("is_balanced").cast("int"), "is_recall_priority": F.col("is_recall_priority").cast("int")})
     policy = resolve_policy(spark, tuning, bundle, card)
     name = policy.first()["final_model_name"]  # one row
-    model = (bundle or {}).get("models", {}).get(name)
+    model, relation = (bundle or {}).get("models", {}).get(name), (bundle or {}).get("relations", {}).get(name)
     rows = merge_admissions_patients(admissions, patients) if patients is not None else admissions
     rows = normalize_categorical_labels(derive_stay_columns(rows))
-    return score_admissions(rows, policy, model=model, feature_columns=(bundle or {}).get("feature_columns"), **heuristic_kw)
+    return score_admissions(rows, policy, model=model, feature_columns=(bundle or {}).get("feature_columns"), relation=relation, **heuristic_kw)

@@ -81,7 +81,6 @@ def run(
     card = E.final_recommendation_card(metrics, prevalence, selection, final_model_name=final_model)
     sel = selection.first()  # one row
 
-    feature_names = M.feature_names(models["logistic_regression"], test)
     tables = {
         "missing_report": Q.missing_value_report(cohort, MISSING_COLUMNS),
         "duplicate_report": Q.duplicate_admission_report(cohort),
@@ -94,8 +93,8 @@ def run(
         "model_metrics": metrics,
         "threshold_tuning": marked,
         "final_model_card": card,
-        "feature_importance_logistic": M.logistic_importance(spark, models["logistic_regression"], feature_names),
-        "feature_importance_random_forest": M.tree_importance(spark, models["random_forest"], M.feature_names(models["random_forest"], test)),
+        "feature_importance_logistic": M.logistic_importance(spark, models["logistic_regression"]),
+        "feature_importance_random_forest": M.tree_importance(models["random_forest"], M.feature_names(models["random_forest"], test)),
         "feature_importance_permutation": M.permutation_importance(models[final_model], test, safe, n_repeats=permutation_repeats, seed=seed),
         "excluded_features": excluded_columns_with_reasons(spark, featured),
         "calibration": E.calibration_table(final_scored, **kw),

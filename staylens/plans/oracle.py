@@ -10,6 +10,7 @@ integers INTEGER, matching the Spark schemas.
 from __future__ import annotations
 
 from staylens import config as C
+from staylens.plans.oracle_models import model_sql
 
 
 # --- adapter relations (shared with the Spark adapter; see FIXTURES.md) ---------------
@@ -652,3 +653,8 @@ SQL["cohort_py_edges"] = _EDGE_BASE + f"SELECT {_COHORT_ROUNDED} FROM cohort_py"
 SQL["language_edges"] = _EDGE_BASE + """
 SELECT CASE WHEN t = '' THEN 'Unknown' ELSE t END AS language, COUNT(*) AS n_rows
 FROM (SELECT trim(COALESCE(language, 'Unknown'), chr(160) || chr(9) || ' ') AS t FROM admissions) GROUP BY 1"""
+
+# ---- models, fitted again in SQL -----------------------------------------------------------------
+_FEATURED = COHORTS.split("featured AS (", 1)[1].rstrip()[:-1]
+_GRID = "grid AS (" + SCORED.split("grid AS (", 1)[1]
+SQL |= model_sql(BASE, _FEATURED, _GRID, _r, _norm, AGE)

@@ -20,6 +20,9 @@ from staylens.operators import labels as L
 from staylens.operators import profile as P
 from staylens.operators import quality as Q
 from staylens.operators.features import engineer_admission_time_features, engineer_demographic_features, normalize_categorical_labels
+from staylens.operators.boost import gain_importance, train_boosted
+from staylens.operators.forest import bag_weights
+from staylens.operators.linear import linear_relation, optimality
 from staylens.operators.ml import (
     feature_names,
     logistic_importance,
@@ -31,6 +34,7 @@ from staylens.operators.ml import (
     split_counts,
     stratified_split,
     train_model,
+    tree_importance,
 )
 from staylens.operators.outliers import long_stay_outlier_review
 from staylens.operators.score import add_heuristic_score, align_for_inference, apply_policy, resolve_policy, score_admissions, score_from_artifacts
@@ -411,7 +415,7 @@ def q_preprocess(spark, sf):
     return preprocess_stats(featured, safe, **kw)
 
 
-# ---- training (rows-only checks: fitted models are not value-comparable) ---------------
+# ---- training: fitted again by the oracle SQL ------------------------------------------------
 def _train_test(spark, sf):
     featured, safe = X.modeling_dataset(spark, sf)
     featured, kw = X.bounded(featured)
@@ -419,6 +423,13 @@ def _train_test(spark, sf):
     return split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), safe, kw
 
 
+@query("split_membership")
+def q_split_membership(spark, sf):
+    """M1: which rows are train and test."""
+    c, kw = X.bounded(X.cohort_clean(spark, sf))
+    return stratified_split(L.make_target_label(c, "gt_7d"), **kw).select("hadm_id", "target_long_stay", "split")
+
+
 @query("model_scores")
 def q_model_scores(spark, sf):
     """M3 + M6: class-balanced logistic regression scored on the test split."""
@@ -427,17 +438,65 @@ def q_model_scores(spark, sf):
     return predict_scores(model, test, "logistic_regression")
 
 
+# The gradient per unit of class weight below which a fitted column counts as optimal.
+GRADIENT_BOUND = 1e-9
+
+
+@query("linear_optimality")
+def q_linear_optimality(spark, sf):
+    """M3 + E14: every coefficient, and whether the penalised loss is flat in it."""
+    train, _, safe, _ = _train_test(spark, sf)
+    found = optimality(train, linear_relation(spark, train_model(train, safe, "logistic_regression")))
+    flat = F.abs("gradient") <= F.col("loss_scale") * GRADIENT_BOUND
+    return found.select("feature", "coefficient", flat.alias("gradient_is_zero"))
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    """E14: top-20 logistic coefficients by absolute value, with expanded names."""
+    """E14 + T4: top-20 logistic coefficients by absolute value, with expanded names."""
+    train, _, safe, _ = _train_test(spark, sf)
+    return logistic_importance(spark, train_model(train, safe, "logistic_regression"), top_n=20)
+
+
+def _boosted_round(spark, sf):
+    train, _, safe, kw = _train_test(spark, sf)
+    return train_boosted(train, safe, rounds=1, max_depth=2, **kw)
+
+
+@query("boosted_round")
+def q_boosted_round(spark, sf):
+    """M5: splits, gains and leaves of one boosting round of depth 2, rows and columns drawn."""
+    return _boosted_round(spark, sf).node_table(spark)
+
+
+@query("boosted_importance")
+def q_boosted_importance(spark, sf):
+    """M5 + E15: gain importance of that round's columns."""
+    model = _boosted_round(spark, sf)
+    return gain_importance(model.node_table(spark), model.columns)
+
+
+@query("forest_bags")
+def q_forest_bags(spark, sf):
+    """M4: rows, bag size and weight per tree and class of 20 trees."""
+    train, _, _, _ = _train_test(spark, sf)
+    return bag_weights(train, 20)
+
+
+@query("tree_importance")
+def q_tree_importance(spark, sf):
+    """E15: importances of a small forest from its node table, against the fitted model's."""
     train, test, safe, _ = _train_test(spark, sf)
-    model = train_model(train, safe, "logistic_regression")
-    return logistic_importance(spark, model, feature_names(model, test), top_n=20)
+    model = train_model(train, safe, "random_forest", num_trees=3)
+    names = feature_names(model, test)
+    fitted = spark.createDataFrame(list(zip(names, model.stages[-1].featureImportances.toArray().tolist())), "feature string, fitted double")
+    made = tree_importance(model, names, top_n=len(names)).join(fitted, "feature")
+    return made.select("feature", (F.abs(F.col("importance") - F.col("fitted")) <= 1e-9).alias("equals_fitted"))
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
-    """E16: accuracy drop per permuted raw feature, 20 repeats, top 20."""
+    """E16 + T4: accuracy drop per permuted raw feature, 20 repeats, top 20."""
     train, test, safe, kw = _train_test(spark, sf)
     model = train_model(train, safe, "logistic_regression")
     return permutation_importance(model, test, safe, n_repeats=20, top_n=20, **kw)
@@ -446,14 +505,14 @@ def q_permutation_importance(spark, sf):
 @query("model_risk_scoring")
 def q_model_risk_scoring(spark, sf):
     """R3 + R5 + R4 with a model: logistic regression trained on the train split, its test
-    scores tuned into a policy, then the whole cohort scored with class and tier."""
+    scores tuned into a policy, then the whole cohort scored by the model's relation."""
     train, test, safe, kw = _train_test(spark, sf)
     model = train_model(train, safe, "logistic_regression")
     tuning = E.threshold_tuning(predict_scores(model, test, "logistic_regression"))
     marked = E.mark_selected_thresholds(tuning, E.select_operating_thresholds(tuning))
     policy = resolve_policy(spark, marked, {"primary_model_name": "logistic_regression"})
     featured, _ = X.modeling_dataset(spark, sf)
-    scored = score_admissions(featured, policy, model=model, feature_columns=safe)
+    scored = score_admissions(featured, policy, feature_columns=safe, relation=linear_relation(spark, model))
     return scored.select("hadm_id", "risk_probability", "predicted_class", "risk_tier", "score_source")
 
 
