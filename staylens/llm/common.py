@@ -65,38 +65,31 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (id, component), component = least id.
 
     Alternating large-star and small-star rounds.  Every round only groups by node with
-    partial minima and joins tables read from the shared folder, so a hub of any degree
-    is split by Spark's skew join instead of meeting one task.  Only nodes that have an
-    edge appear.  Nothing is collected but two counters a round.
+    partial minima and joins, so a hub of any degree is split by Spark's skew join instead
+    of meeting one task; it writes one table to the shared folder and deletes the one
+    before.  The rounds end as soon as the links are stars, which a further round would
+    leave as they are.  Only nodes that have an edge appear.  Nothing is collected but one
+    counter a round.
     """
     links = store(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = None
     for _ in range(max_rounds):
+        # Stars: every node has one link to a lower one, and no lower one has a link itself.
+        parents = links.groupBy("u").agg(F.count("*").alias("n"))
+        many = parents.where("n > 1").select("u")
+        inner = links.select(F.col("v").alias("u")).distinct().join(parents, "u", "left_semi")
+        if many.union(inner).limit(1).count() == 0:
+            break
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: every larger neighbour of u points at the least of u and its neighbours.
-        low = store(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "low")
-        large = store(
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
-        )
-        discard(low, links)
+        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours point at the least of them.
-        low = store(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        links = store(
-            large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(low.select("u", F.col("m").alias("v")))
-            .distinct(),
-            "links",
-        )
-        discard(low, large)
-        # Converged when no node is both a child and a parent and no edge changed.
-        seen = links.agg(
-            F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))
-        ).first()
-        if state == tuple(seen):
-            break
-        state = tuple(seen)
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        smaller = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, links = links, store(smaller.union(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(before)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

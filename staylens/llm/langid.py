@@ -41,12 +41,15 @@ GAP = 32
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Per BMP code point its lower-case letter, or the gap."""
-    out = np.full(1 << 16, GAP, np.int64)
-    for c in range(1 << 16):
-        if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
-            low = chr(c).lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    return out
+    return np.array([_letter(c) for c in range(1 << 16)], np.int64)
+
+
+@lru_cache(maxsize=1 << 16)
+def _letter(c: int) -> int:
+    if 0xD800 <= c < 0xE000 or not chr(c).isalpha():
+        return GAP
+    low = chr(c).lower()
+    return ord(low) if len(low) == 1 else c
 
 
 def symbols(text: str, before: np.ndarray, last: bool) -> np.ndarray:
@@ -54,7 +57,10 @@ def symbols(text: str, before: np.ndarray, last: bool) -> np.ndarray:
     words, and one at the end of the ``last`` stretch."""
     cp = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     table = _letters()
-    code = np.where(cp < len(table), table[np.minimum(cp, len(table) - 1)], cp)  # beyond the BMP: as it is
+    code = table[np.minimum(cp, len(table) - 1)]
+    beyond = cp >= len(table)
+    if beyond.any():
+        code[beyond] = [_letter(c) for c in cp[beyond].tolist()]
     code = np.concatenate((before, code, np.full(int(last), GAP)))
     return code[(code != GAP) | np.concatenate(([True], code[:-1] != GAP))]
 

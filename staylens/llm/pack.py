@@ -13,8 +13,8 @@
 
 Cases: null text is an empty text (one piece: the end id); ids may be null or repeat, each
 row is packed; ties between equal lengths go by task and position; an empty table gives no
-rows; other columns are ignored.  The strings of special tokens in a text are ordinary
-text.
+rows; other columns are ignored.  The string of a special token in a text becomes that
+token's id, as ``tokenizers`` has it.
 """
 
 from __future__ import annotations
@@ -54,7 +54,6 @@ def encoder(path: str):
     characters go through ``tiktoken`` with the same vocabulary: same ids, less time.
     """
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
 
     def by_tokenizers(text: str) -> list[int]:
         return slow.encode(text, add_special_tokens=False).ids
@@ -79,7 +78,8 @@ def encoder(path: str):
     fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
-        if len(text) > 1_000_000 or not _PLAIN.fullmatch(text):
+        # Added tokens standing in a text are ids of their own, which only tokenizers knows.
+        if len(text) > 1_000_000 or not _PLAIN.fullmatch(text) or any(token in text for token in special):
             return by_tokenizers(text)
         return fast.encode_ordinary(text)
 

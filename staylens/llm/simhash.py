@@ -152,8 +152,8 @@ def classify(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     named = store(named, "labelled-fps")
-    names = store(named.groupBy("component").agg(F.min("first").alias("component_id")), "component-ids")
-    of_fp = store(named.join(names, "component").select("fp", "component_id"), "fp-components")
+    names = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_fp = named.join(names, "component").select("fp", "component_id")
     return fps.join(of_fp, "fp").select("id", "key", "fp", "component_id")
 
 

@@ -63,3 +63,16 @@ def test_odd_rows(spark):
     none = G.prototypes(G.training_rows(docs.limit(0)))
     assert {r.lang_pred for r in G.identify(docs, none).collect()} == {"und"}
     assert G.identify(docs.limit(0), languages).count() == 0
+
+
+def test_letters_beyond_the_bmp():
+    assert len(G.grams("🙂🎉 123 𝟙𝟚𝟛 ²")[0]) == 0  # emoji, digits, mathematical digits
+    assert len(G.grams("𐐀𐐁𐐂")[0]) > 0
+    assert G.grams("𐐀𐐁")[0].tolist() == G.grams("𐐨𐐩")[0].tolist()  # upper and lower case
+    assert G.grams("a🙂b")[0].tolist() == G.grams("a b")[0].tolist()
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    docs = spark.createDataFrame([(0, "der die das und", "de"), (2, "the and of", "en"), (5, "🙂🎉", None), (6, "𝟙𝟚𝟛 42", None)], "doc_id long, text string, lang string")
+    found = {r.id: r.lang_pred for r in G.identify(docs, G.prototypes(G.training_rows(docs))).collect()}
+    assert found[5] == found[6] == "und"

@@ -17,7 +17,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -28,7 +27,8 @@ def test_ids_are_those_of_tokenizers(reference):
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
         assert encode(text) == reference(text), repr(text)
-    for text in ("<|endoftext|>", "it's  fine \n\n then", "a" * 3000, " " * 3000 + "x"):
+    assert encode("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    for text in ("<|endoftext|>", "<|endoftext", "a<|endoftext|><|endoftext|> b", "字<|endoftext|>字", "it's  fine \n\n then", "a" * 3000, " " * 3000 + "x"):
         assert encode(text) == reference(text)
 
 
