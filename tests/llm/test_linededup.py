@@ -58,3 +58,33 @@ def test_odd_rows(spark):
     kept = {r.lang: r for r in out.collect()}
     assert set(kept) == set("abcdghi") and kept["g"].n_chars == 300_000 and kept["d"].n_chars == 9
     assert L.drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def cleaned(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.text for r in L.clean(docs).collect()}
+
+
+def test_chain_keeps_what_no_kept_line_stands_for(spark):
+    words = LONG.split()
+    a = " ".join(words)
+    b = " ".join([*words[:4], "changed", *words[5:]])  # A and B differ in one stretch
+    c = " ".join([*b.split()[:-1], "yesterday"])  # B and C in another
+    d = " ".join([*c.split()[:8], "other", *c.split()[9:]])  # C and D in a third
+    tail = ["alpha", "beta", "gamma", "delta"]
+    got = cleaned(spark, [(i, f"{t}\nown words of {tail[i]}") for i, t in enumerate((a, b, c, d))])
+    assert got[0].startswith(a) and got[1] == "own words of beta"
+    assert got[2].startswith(c)  # only B shared a template with C, and B is gone
+    assert got[3] == "own words of delta"
+
+
+def test_documents_that_differ_in_digits_stay(spark):
+    text = "Invoice {} of our company for goods shipped on day {} to the usual address of yours"
+    got = cleaned(spark, [(1, text.format(17, 4)), (2, text.format(18, 5)), (3, text.format(17, 4)), (4, text.format(18, 5) + "\n\n ")])
+    assert got == {1: text.format(17, 4), 2: text.format(18, 5), 4: text.format(18, 5) + "\n\n "}
+
+
+def test_whole_copies_go(spark):
+    body = f"{LONG}\nand one more line which is long enough to be judged here"
+    got = cleaned(spark, [(i, body) for i in range(30)] + [(99, None), (98, "")])
+    assert got == {0: body, 99: None, 98: ""}
