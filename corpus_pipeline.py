@@ -5,8 +5,8 @@ Parquet to the shared checkpoint folder and rereads it as the next stage's docum
 but the last return the columns of ``documents``.
 
 1. ``toxicity``: documents that score 0.5 or more go.
-2. ``line_dedup``: lines of recurring templates go, but for their first occurrence; a
-   document with no line left goes, since all of it stands elsewhere.
+2. ``line_dedup``: lines of recurring templates go if a kept line stands for them; a document
+   that would keep no words goes only if all of it stands elsewhere character by character.
 3. ``simhash_near_dedup``: of each SimHash group the document of least id stays.
 4. ``decontaminate``: documents that contain a benchmark item go.
 5. ``pack``: the rest as token sequences of at most 2048 tokens, one row per piece.
