@@ -64,13 +64,21 @@ def dedup_patients(patients: DataFrame) -> DataFrame:
     return keep_first(demo, ["subject_id"], _asc_last(PATIENT_TIEBREAK, demo.columns))
 
 
+# Parts into which rows without a subject are dealt before a join.
+NULL_SALTS = 4096
+
+
 def join_patients_sql(admissions: DataFrame, patients: DataFrame) -> DataFrame:
     """LEFT JOIN patients ON subject_id (plain equality; duplicates fan out as in SQL).
 
     AQE turns this into a broadcast join when the patient side is small at runtime and
-    splits a skewed subject partition otherwise."""
-    p = patients.select(*PATIENT_COLUMNS)
-    return admissions.join(p, on="subject_id", how="left")
+    splits a skewed subject partition otherwise.  A NULL subject meets nobody, so rows
+    without one are dealt out by a salt instead of meeting in one task."""
+    # Always 0, but not a literal: the optimizer would take a constant out of the join keys.
+    p = patients.select(*PATIENT_COLUMNS).withColumn("_salt", F.pmod(F.col("subject_id"), F.lit(1)).cast("int"))
+    spread = F.pmod(F.xxhash64("hadm_id", "admittime"), F.lit(NULL_SALTS)).cast("int")
+    salted = admissions.withColumn("_salt", F.when(F.col("subject_id").isNull(), spread).otherwise(F.lit(0)))
+    return salted.join(p, on=["subject_id", "_salt"], how="left").drop("_salt")
 
 
 def merge_admissions_patients(admissions: DataFrame, patients: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def _curve(scored: DataFrame, **prefix_kw) -> DataFrame:
     vc = score_counts(scored)
     pref = ordered_prefix(
         vc, ["model"], [OrderKey("y_score", ascending=False)], {"pos": "pos", "neg": "neg"},
-        sample_from=scored.select("model", "y_score"), **prefix_kw,
+        **prefix_kw,
     )
     totals = vc.groupBy("model").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return pref.join(F.broadcast(totals), on="model", how="inner").select(  # one row per model

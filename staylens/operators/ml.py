@@ -32,6 +32,7 @@ from staylens.operators.boost import train_boosted
 from staylens.operators.forest import impurity_importance, train_forest, tree_nodes
 from staylens.operators.linear import coefficient_importance, delta_importance, linear_relation, permutation_pairs, refined
 from staylens.operators.ordered import OrderKey, ordered_prefix, percentile_columns
+from staylens.operators.quality import value_counts
 
 LABEL = "target_long_stay"
 
@@ -160,8 +161,9 @@ def preprocess_stats(train: DataFrame, features: Sequence[str], **prefix_kw) ->
         )
         rows.append(num.select("feature", F.lit("numeric").alias("kind"), "median", "mean", "std", F.lit(None).cast("string").alias("mode")))
     if categorical:
-        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v")) for c in categorical])
-        cat = train.select(F.inline(pairs)).groupBy("feature").agg(F.mode("v", True).alias("mode"))
+        counts = value_counts(train, categorical)
+        observed = F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("n"), "value"))
+        cat = counts.groupBy("feature").agg(F.min(observed)["value"].alias("mode"))  # most rows, then least value
         rows.append(
             cat.select(
                 "feature", F.lit("categorical").alias("kind"), F.lit(None).cast("double").alias("median"),

@@ -1,39 +1,30 @@
-"""Ordered prefix: exact positions and running sums in a total order, at any scale.
-
-Exact percentiles, global ranks, precision/recall curves, ``LEAD`` within a group and
-the stratified split all need "how many rows come before this one".  A plain window
-with no (or a skewed) partition key sorts everything in one task.  This module does it
-in buckets instead:
-
-1. Count the rows and pick ``B = ceil(n / rows_per_bucket)`` buckets (capped).
-2. If ``B == 1`` the data is small by that bound: use the plain window.
-3. Otherwise take a bounded, seeded sample of the sort key (group columns plus the first
-   order key), sort it, and keep ``B - 1`` boundaries.  The boundaries are broadcast as
-   one row; a row's bucket is the number of boundaries ``<=`` its key (a generated binary
-   search, log2(B) comparisons a row).  The bucket is a pure function of the row, so
-   a recomputed task puts every row in the same bucket again, and equal keys never
-   straddle buckets.  A hot group simply spans many buckets.
-4. A window partitioned by (group, bucket) gives local positions and running sums.
-5. Per-(group, bucket) totals (at most groups + buckets rows) are prefix-summed in a
-   small window and joined back as offsets.
-
-Callers that need ties kept together (RANGE semantics, ranks, curves) pre-aggregate to
-one row per distinct key first, which also shrinks heavy ties before the shuffle.
+"""Ordered prefix and order statistics: exact, at any scale.
+
+Ranks, running sums, precision/recall curves and ``LEAD`` within a group need a full order.
+A window with no (or a skewed) partition key sorts everything in one task.  Beyond
+``ROWS_PER_BUCKET`` rows :func:`ordered_prefix` therefore lets Spark range-partition the rows
+by group, order keys and a hash of the row (so that a value held by a third of all rows
+spreads over tasks), writes them with their partition number to the shared checkpoint
+folder, and adds the totals of the earlier partitions as offsets: at most groups +
+partitions rows, joined back on the same keys.
+
+Order statistics (exact percentiles, the cut of a top share) need no order at all.  The
+rows are counted in ``CELLS`` equal-width cells between the least and the largest value, the
+cells that hold a wanted rank are counted again between their own least and largest
+values, and only the last ``CELL_ROWS`` rows around a rank are looked at one by one.  Rows are
+scanned with partial aggregates and never shuffled or sorted; nothing is sampled.
+
+Up to ``ROWS_PER_BUCKET`` rows (a caller-supplied ``row_bound`` or a count) the plain window,
+or Spark's exact ``percentile`` aggregate, is used: their memory is bounded by that row
+count.  Ties that must stay together (RANGE semantics, ranks, curves) are pre-aggregated to
+one row per distinct key by the callers, which also shrinks them before the shuffle.
 NaN order keys are expected to be NULL already (inputs convert NaN at ingest).
-
-Operations that need only a few ranks do less: :func:`exact_percentiles` and
-:func:`top_value_ranks` bucket the raw rows the same way, count rows per bucket by
-partial aggregation, and sort only the buckets that hold the wanted ranks (the bucket of
-rank ``floor(p (n - 1))`` / ``ceil(...)``, or the leading buckets of a descending order).
-
-Below ``rows_per_bucket`` rows (a caller-supplied ``row_bound`` or a count) the plain
-window, or Spark's exact ``percentile`` aggregate, is used: their memory is bounded by that
-row count.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -42,12 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.functions.columns import col_of
+from staylens.session import materialize
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 65_536
-SAMPLE_PER_BUCKET = 32
-MAX_SAMPLE = 1_000_000  # keys sorted for the boundaries (as Spark's range partitioner)
-DEFAULT_SEED = 17
+# Cells of one counting pass, and rows around a rank that are looked at one by one.
+CELLS = 4096
+CELL_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -79,46 +71,6 @@ def plan_buckets(n: int, rows_per_bucket: int | None = None, max_buckets: int |
     return max(1, min(cap, math.ceil(n / per))) if n > 0 else 1
 
 
-def _numeric_key(df: DataFrame, key: OrderKey) -> Column:
-    """A monotone (non-decreasing) double image of the first order key."""
-    dtype = df.schema[key.column].dataType
-    c = F.col(key.column)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        value = F.unix_micros(c.cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.DateType):
-        value = F.unix_date(c).cast("double")
-    elif isinstance(dtype, T.BooleanType):
-        value = c.cast("double")
-    elif isinstance(dtype, T.NumericType):
-        value = c.cast("double")
-    else:
-        raise TypeError(f"bucketed ordering needs a numeric or time first key, got {dtype}")
-    if not key.ascending:
-        value = -value
-    null_rank = F.lit(0) if key.nulls_go_first else F.lit(1)
-    nonnull_rank = F.lit(1) if key.nulls_go_first else F.lit(0)
-    return F.struct(
-        F.when(c.isNull(), null_rank).otherwise(nonnull_rank).alias("nr"),
-        F.coalesce(value, F.lit(0.0)).alias("v"),
-    )
-
-
-def _bucket_lookup(spark, keyed: DataFrame, bounds: list, key_type: T.DataType) -> DataFrame:
-    """Attach ``_bucket`` = number of boundaries <= ``_bk``: a binary search over one
-    broadcast row, one generated projection per step (log2(B) comparisons a row)."""
-    m = len(bounds)
-    schema = T.StructType([T.StructField("_bounds", T.ArrayType(key_type, False), False)])
-    bounds_df = spark.createDataFrame([(bounds,)], schema)
-    out = keyed.crossJoin(F.broadcast(bounds_df)).withColumn("_b0", F.lit(0))  # one row, at most MAX_BUCKETS entries
-    step, at = 1 << (m.bit_length() - 1), 0
-    while step:
-        low = F.col(f"_b{at}")
-        fits = F.get("_bounds", low + F.lit(step - 1)) <= F.col("_bk")  # NULL beyond the last boundary
-        out = out.withColumn(f"_b{at + 1}", F.when(fits, low + F.lit(step)).otherwise(low))
-        step, at = step >> 1, at + 1
-    return out.withColumn("_bucket", F.col(f"_b{at}").cast("int")).drop("_bounds", *[f"_b{i}" for i in range(at + 1)])
-
-
 def ordered_prefix(
     df: DataFrame,
     partition_by: Iterable[str] = (),
@@ -127,10 +79,8 @@ def ordered_prefix(
     *,
     rows_per_bucket: int | None = None,
     max_buckets: int | None = None,
-    seed: int = DEFAULT_SEED,
     n_rows: int | None = None,
     row_bound: int | None = None,
-    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_pos`` (1-based row position within the partition, in ``order_by`` order)
     and ``_cum_<name>`` (inclusive running sum) for each entry of ``sums``.
@@ -138,9 +88,7 @@ def ordered_prefix(
     Rows with equal order keys get distinct, arbitrary positions (ROWS semantics);
     make the order total, or pre-aggregate ties, when that matters.  ``row_bound`` (an
     upper bound on the rows, e.g. the count of the persisted input) replaces the count
-    job that otherwise sizes the buckets.  ``sample_from`` (a relation with the same
-    partition and first-order-key columns, typically the persisted input that ``df`` was
-    aggregated from) is sampled for the boundaries instead of recomputing ``df``.
+    job that otherwise sizes the buckets.
     """
     part = list(partition_by)
     keys = _keys(order_by)
@@ -154,9 +102,7 @@ def ordered_prefix(
     running = (Window.unboundedPreceding, Window.currentRow)
 
     if buckets > 1:
-        keyed = assign_buckets(base, part, keys[0], buckets, n, seed, sample_from)
-        if keyed is not None:
-            return _bucketed_prefix(keyed, part, order_cols, measures)
+        return _bucketed_prefix(ranged(base, part, keys, buckets), part, order_cols, measures)
     window = Window.partitionBy(*part).orderBy(*order_cols)
     out = base.withColumn("_pos", F.row_number().over(window).cast("long"))
     for name in measures:
@@ -164,34 +110,14 @@ def ordered_prefix(
     return out.drop(*[f"_m_{name}" for name in measures])
 
 
-def assign_buckets(
-    df: DataFrame,
-    part: Sequence[str],
-    first_key: OrderKey,
-    buckets: int,
-    n: int,
-    seed: int = DEFAULT_SEED,
-    sample_from: DataFrame | None = None,
-) -> DataFrame | None:
-    """Add ``_gk`` (struct of the partition columns, when any) and ``_bucket``.
-
-    The boundaries come from a seeded sample of about ``min(SAMPLE_PER_BUCKET * buckets,
-    MAX_SAMPLE)`` keys; fewer than ``buckets`` of them are collected, once, so every task (and
-    every recomputed task) assigns a row to the same bucket.  Returns None when the sample
-    yields no boundary."""
+def ranged(df: DataFrame, part: Sequence[str], keys: Sequence[OrderKey], buckets: int) -> DataFrame:
+    """``df`` range-partitioned by group, keys and row hash, with ``_gk`` (struct of the
+    partition columns, when any) and ``_bucket``, the number of the row's range, written to
+    the shared folder: whatever reads it sees one assignment, also after a lost executor."""
     gk = [F.struct(*[F.col(c) for c in part]).alias("_gk")] if part else []
-    key = F.struct(*([F.col("_gk")] if part else []), _numeric_key(df, first_key).alias("_k"))
-    keyed = df.select("*", *gk).withColumn("_bk", key)
-    source = keyed if sample_from is None else sample_from.select("*", *gk).withColumn("_bk", key)
-    wanted = min(SAMPLE_PER_BUCKET * buckets, MAX_SAMPLE)
-    sample = source.select("_bk").sample(False, min(1.0, wanted / max(n, 1)), seed)
-    # The sample (about `wanted` keys) is sorted by Spark; only the boundaries reach the driver.
-    ranked = sample.withColumns({"_i": F.row_number().over(Window.orderBy("_bk")) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy())})
-    cut = F.floor(F.col("_i") * F.lit(buckets) / F.col("_n")) != F.floor((F.col("_i") - 1) * F.lit(buckets) / F.col("_n"))
-    bounds = [r["_bk"] for r in ranked.where((F.col("_i") > 0) & cut).select("_bk").distinct().orderBy("_bk").collect()]
-    if not bounds:
-        return None
-    return _bucket_lookup(df.sparkSession, keyed, bounds, keyed.schema["_bk"].dataType).drop("_bk")
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    order = [F.col(c).asc() for c in part] + [k.sort_col() for k in keys] + [tie]
+    return materialize(df.repartitionByRange(buckets, *order).select("*", *gk, F.spark_partition_id().alias("_bucket")))
 
 
 def _bucketed_prefix(bucketed, part, order_cols, measures) -> DataFrame:
@@ -241,13 +167,15 @@ def exact_percentiles(
     Returns ``group_by..., _pidx (int), percentile (double), value (double)``.  NULL
     values are ignored; groups without values produce no rows.  Up to ``rows_per_bucket``
     rows (a known ``row_bound`` or a count) Spark's exact ``percentile`` aggregate is used;
-    beyond that only the buckets holding the wanted ranks are sorted
-    (:func:`_bucketed_percentiles`).
+    beyond that the ranks are found by counting (:func:`_values_at_ranks`).
     """
     g = list(group_by)
     v = col_of(value).cast("double")
+    per = prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET
     row_bound = prefix_kw.get("row_bound")
-    if row_bound is not None and row_bound <= (prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET):
+    if row_bound is None:
+        row_bound = df.where(v.isNotNull()).count()
+    if row_bound <= per:
         # Known small input: Spark's exact percentile keeps a value -> count map of at
         # most row_bound entries per group; one aggregation, same interpolation.
         agg = df.where(v.isNotNull()).groupBy(*g).agg(F.percentile(v, [float(p) for p in probs]).alias("_vals"))
@@ -255,68 +183,83 @@ def exact_percentiles(
         return agg.where(F.col("_vals").isNotNull()).select(*g, F.inline(rows)).select(
             *g, F.col("i").cast("int").alias("_pidx"), F.col("p").alias("percentile"), F.col("v").alias("value")
         )
-    raw = df.where(v.isNotNull()).select(*[F.col(c) for c in g], v.alias("_v"))
-    n = row_bound if row_bound is not None else raw.count()
-    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
-    keyed = assign_buckets(raw, g, OrderKey("_v"), buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
-    if keyed is None:  # one bucket: few rows, or no sample; ties are still counted before the shuffle
-        gk = [F.struct(*[F.col(c) for c in g]).alias("_gk")] if g else []
-        keyed = raw.select("*", *gk, F.lit(0).alias("_bucket"))
-    return _bucketed_percentiles(keyed, g, probs)
-
-
-def _bucketed_percentiles(keyed: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
-    """Order statistics from the few buckets that hold them.
-
-    Per-bucket counts come from partial aggregation (at most groups + buckets rows);
-    their prefix sums locate, for every group and percentile, the bucket holding ranks
-    floor(h) and ceil(h).  Only rows of those buckets are kept (a join with that small
-    table) and sorted; the bulk of the data is scanned but never shuffled or sorted."""
-    gk = ["_gk"] if g else []
-    counts = keyed.groupBy(*gk, "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
-    wg = Window.partitionBy(*gk)
-    counts = counts.withColumns(
-        {
-            "_off": F.coalesce(F.sum("_bc").over(wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_n": F.sum("_bc").over(wg),
-        }
-    )
-    targets = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - F.lit(1)).cast("double")).alias("h"))
-            for i, p in enumerate(probs)
-        ]
+    gk = F.struct(*[F.col(c) for c in g]).alias("_gk") if g else F.lit(0).alias("_gk")
+    raw = df.where(v.isNotNull()).select(gk, v.alias("_v"))
+    stats = raw.groupBy("_gk").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("_pidx"), F.lit(float(p)).alias("percentile")) for i, p in enumerate(probs)])
+    wanted = materialize(stats.select("*", F.inline(wanted)).withColumn("_h", F.col("percentile") * (F.col("_n") - 1).cast("double")))
+    ends = F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))
+    ranks = wanted.select("_gk", "_lo", "_hi", F.col("_n").alias("_cnt"), F.lit(0).cast("long").alias("_before"), F.explode(ends).alias("_k")).distinct()
+    at = _values_at_ranks(raw, ranks, min(CELL_ROWS, per))
+    low = at.select(F.col("_gk").alias("_gl"), F.col("_k").alias("_kl"), F.col("_v").alias("_low"))
+    high = at.select(F.col("_gk").alias("_gh"), F.col("_k").alias("_kh"), F.col("_v").alias("_high"))
+    out = wanted.join(low, F.col("_gk").eqNullSafe(F.col("_gl")) & (F.floor("_h") == F.col("_kl")))
+    out = out.join(high, F.col("_gk").eqNullSafe(F.col("_gh")) & (F.ceil("_h") == F.col("_kh")))
+    frac = F.col("_h") - F.floor("_h")
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("_low") + (F.col("_high") - F.col("_low")) * frac)
+    return out.select(
+        *[F.col(f"_gk.{c}").alias(c) for c in g], "_pidx", "percentile", between.alias("value")
     )
 
-    def within(pos: Column, start: Column, end: Column) -> Column:
-        return (pos >= start) & (pos <= end)
-
-    first, last = F.col("_off"), F.col("_off") + F.col("_bc") - 1
-    wanted = counts.select(
-        *gk, "_bucket", "_off",
-        F.filter(targets, lambda t: within(F.floor(t["h"]), first, last) | within(F.ceil(t["h"]), first, last)).alias("_t"),
-    ).where(F.size("_t") > 0)  # at most 2 * len(probs) buckets per group
-    # Without groups `wanted` has at most 2 * len(probs) rows; with groups AQE sizes the join.
-    small = wanted if g else F.broadcast(wanted)
-    kept = keyed.join(small.select(*gk, "_bucket"), on=[*gk, "_bucket"], how="left_semi")
-    vc = kept.groupBy(*gk, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"))  # ties counted before the shuffle
-    vc = vc.join(small, on=[*gk, "_bucket"], how="inner")
-    local = Window.partitionBy(*gk, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("_end", F.col("_off") + F.sum("_w").over(local) - 1).withColumn("_start", F.col("_end") - F.col("_w") + 1)
-    hit = F.filter("_t", lambda t: within(F.floor(t["h"]), F.col("_start"), F.col("_end")) | within(F.ceil(t["h"]), F.col("_start"), F.col("_end")))
-    matched = vc.select(*gk, "_v", "_start", "_end", F.explode(hit).alias("t"))
-    lo, hi = F.floor(F.col("t.h")), F.ceil(F.col("t.h"))
-    agg = matched.groupBy(*gk, F.col("t.i").alias("_pidx"), F.col("t.p").alias("percentile"), F.col("t.h").alias("_h")).agg(
-        F.max(F.when(within(lo, F.col("_start"), F.col("_end")), F.col("_v"))).alias("_lo"),
-        F.max(F.when(within(hi, F.col("_start"), F.col("_end")), F.col("_v"))).alias("_hi"),
-    )
-    frac = F.col("_h") - F.floor(F.col("_h"))
-    return agg.select(
-        *[F.col(f"_gk.{c}").alias(c) for c in g],
-        F.col("_pidx").cast("int").alias("_pidx"),
-        "percentile",
-        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"),
+
+def cell_of(v: Column, lo: Column, hi: Column) -> Column:
+    """The equal-width cell of ``v`` between ``lo`` and ``hi``: never falls as ``v`` grows.
+    Halves keep the width finite; where it is too small to divide by, all is one cell.
+    Infinite values count as the largest finite ones."""
+    v, lo, hi = (F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max)) for x in (v, lo, hi))
+    scale = F.lit(CELLS / 2.0) / (hi / 2 - lo / 2)
+    cell = F.floor((v / 2 - lo / 2) * scale * 2)
+    usable = (hi > lo) & (scale < F.lit(1e300))
+    return F.when(usable, F.greatest(F.least(cell, F.lit(CELLS - 1)), F.lit(0))).otherwise(F.lit(0)).cast("int")
+
+
+def _values_at_ranks(raw: DataFrame, ranks: DataFrame, cell_rows: int) -> DataFrame:
+    """(_gk, _k, _v): the value of rank ``_k`` (from 0) among the rows (_gk, _v) of its group.
+
+    ``ranks`` has, per wanted rank, the interval [_lo, _hi] known to hold it, the rows before
+    the interval and in it.  Each pass counts the rows of all open intervals by cells and
+    shrinks every interval to the values in one cell; intervals of a group never overlap, so
+    a row belongs to one at most.  The tables of ranks and intervals have at most two rows
+    per group and percentile."""
+    ranks = materialize(ranks)
+
+    def inside(intervals: DataFrame) -> DataFrame:
+        """Rows with their interval: a join on the group, or with a few rows if there is one."""
+        at = F.broadcast(intervals.withColumnRenamed("_gk", "_ig")) if _ungrouped(raw) else intervals.withColumnRenamed("_gk", "_ig")
+        return raw.join(at, F.col("_gk").eqNullSafe(F.col("_ig")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop("_ig")
+
+    held = None
+    while True:
+        open_ = ranks.where((F.col("_cnt") > cell_rows) & (F.col("_lo") < F.col("_hi")))
+        size = open_.agg(F.max("_cnt")).first()[0]  # one row
+        if size is None or size == held:  # nothing open, or only values too close for cells
+            break
+        held = size
+        rows = inside(open_.select("_gk", "_lo", "_hi", "_before").distinct())
+        cells = rows.groupBy("_gk", F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_before", cell_of(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_clo"), F.max("_v").alias("_chi")
+        )
+        earlier = Window.partitionBy("_gk", "_l", "_h").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = cells.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))  # CELLS rows an interval
+        cells = cells.select(F.col("_gk").alias("_cg"), "_l", "_h", "_start", "_n", "_clo", "_chi")
+        met = open_.join(cells, F.col("_gk").eqNullSafe(F.col("_cg")) & (F.col("_lo") == F.col("_l")) & (F.col("_hi") == F.col("_h")))
+        met = met.where((F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_start") + F.col("_n")))
+        narrowed = met.select("_gk", F.col("_clo").alias("_lo"), F.col("_chi").alias("_hi"), F.col("_n").alias("_cnt"), F.col("_start").alias("_before"), "_k")
+        ranks = materialize(ranks.where(~((F.col("_cnt") > cell_rows) & (F.col("_lo") < F.col("_hi")))).unionByName(narrowed))
+    single = ranks.where(F.col("_lo") == F.col("_hi")).select("_gk", "_k", F.col("_lo").alias("_v"))
+    last = ranks.where(F.col("_lo") < F.col("_hi"))
+    values = inside(last.select("_gk", "_lo", "_hi", "_before").distinct()).groupBy("_gk", "_lo", "_hi", "_before", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    upto = Window.partitionBy("_gk", "_lo", "_hi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_end", F.col("_before") + F.sum("_w").over(upto)).select(  # about cell_rows rows an interval
+        F.col("_gk").alias("_cg"), F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_v", "_w", "_end"
     )
+    met = last.join(values, F.col("_gk").eqNullSafe(F.col("_cg")) & (F.col("_lo") == F.col("_l")) & (F.col("_hi") == F.col("_h")))
+    met = met.where((F.col("_k") < F.col("_end")) & (F.col("_k") >= F.col("_end") - F.col("_w")))
+    return materialize(single.unionByName(met.select("_gk", "_k", "_v")))
+
+
+def _ungrouped(raw: DataFrame) -> bool:
+    return not isinstance(raw.schema["_gk"].dataType, T.StructType)
 
 
 def percentile_columns(
@@ -344,15 +287,18 @@ def value_ranks(df: DataFrame, value: str | Column, **prefix_kw) -> DataFrame:
     """
     v = col_of(value)
     vc = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    raw = df.where(v.isNotNull()).select(v.alias("_v"))
-    pref = ordered_prefix(vc, [], [OrderKey("_v", ascending=False)], {"w": "_w"}, sample_from=raw, **prefix_kw)
-    total = vc.agg(F.sum("_w").alias("_n"))
+    return _ranked(vc, vc.agg(F.sum("_w").alias("_n")), **prefix_kw)
+
+
+def _ranked(vc: DataFrame, total: DataFrame, **prefix_kw) -> DataFrame:
+    """Ranks of the distinct values ``vc`` (_v, _w), the largest ones of ``total`` rows."""
+    pref = ordered_prefix(vc, [], [OrderKey("_v", ascending=False)], {"w": "_w"}, **prefix_kw)
     ranked = pref.crossJoin(F.broadcast(total))  # one-row global aggregate
     n_less = F.col("_n") - F.col("_cum_w")
     pct = F.when(F.col("_n") > 1, n_less.cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
     return ranked.select(
         "_v",
-        F.col("_pos").alias("dense_rank_desc"),
+        F.col("_pos").cast("long").alias("dense_rank_desc"),
         pct.alias("percent_rank"),
         F.col("_cum_w").alias("n_at_or_above"),
     )
@@ -368,43 +314,37 @@ def top_value_ranks(
     """:func:`value_ranks` restricted to a superset of the values with
     ``dense_rank_desc <= top_n`` or ``percent_rank >= min_percent_rank``.
 
-    At scale the rows are bucketed in descending order.  Every non-empty bucket holds a
-    distinct value, so the top ``top_n`` dense ranks lie in the first ``top_n`` buckets;
-    a bucket can hold a qualifying percent rank only if the rows before it number at most
-    ``(1 - min_percent_rank) * (n - 1)``.  Those buckets form a prefix; only their rows are
-    aggregated and ranked, with exact offsets from per-bucket counts."""
+    At scale the rows are counted by cells of their value.  Every cell that is not empty
+    holds a distinct value, so the top ``top_n`` dense ranks lie in the top ``top_n`` of them;
+    a value qualifies by percent rank only if the rows above it number at most
+    ``(1 - min_percent_rank) * (n - 1)``.  The cell that both conditions end in is counted
+    again until it is small; only values from there on are ranked."""
     v = col_of(value)
-    raw = df.where(v.isNotNull()).select(v.cast("double").alias("_v"))
+    per = prefix_kw.get("rows_per_bucket") or ROWS_PER_BUCKET
     row_bound = prefix_kw.get("row_bound")
-    n = row_bound if row_bound is not None else raw.count()
-    buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
-    keyed = assign_buckets(raw, [], OrderKey("_v", ascending=False), buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
-    if keyed is None:
-        return value_ranks(df, value, **{**prefix_kw, "n_rows": n})
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bc"))  # <= buckets rows
-    order = Window.orderBy("_bucket")
-    counts = counts.select(
-        "_bucket",
-        F.row_number().over(order).alias("_bidx"),
-        F.coalesce(F.sum("_bc").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_roff"),
-        F.sum("_bc").over(Window.partitionBy()).alias("_n"),
-    )
-    slack = F.lit(1.0 - float(min_percent_rank)) * (F.col("_n") - 1).cast("double")
-    wanted = counts.where((F.col("_bidx") <= F.lit(top_n)) | (F.col("_roff").cast("double") <= slack))
-    kept = keyed.join(F.broadcast(wanted), on="_bucket", how="inner")  # <= buckets rows
-    vc = kept.groupBy("_bucket", "_v").agg(F.count(F.lit(1)).alias("_w"), F.first("_roff").alias("_roff"), F.first("_n").alias("_n"))
-    distinct_per = vc.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bd"))
-    doff = distinct_per.select("_bucket", F.coalesce(F.sum("_bd").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_doff"))
-    vc = vc.join(F.broadcast(doff), on="_bucket", how="inner")  # <= buckets rows
-    local = Window.partitionBy("_bucket").orderBy(F.col("_v").desc())
-    vc = vc.withColumns(
-        {
-            "dense_rank_desc": F.col("_doff") + F.row_number().over(local),
-            "n_at_or_above": F.col("_roff") + F.sum("_w").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        }
-    )
-    pct = F.when(F.col("_n") > 1, (F.col("_n") - F.col("n_at_or_above")).cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
-    return vc.select("_v", F.col("dense_rank_desc").cast("long").alias("dense_rank_desc"), pct.alias("percent_rank"), "n_at_or_above")
+    if row_bound is not None and row_bound <= per:
+        return value_ranks(df, value, **prefix_kw)
+    raw = df.where(v.isNotNull()).select(v.cast("double").alias("_v"))
+    n, lo, hi = raw.agg(F.count(F.lit(1)), F.min("_v"), F.max("_v")).first()  # one row
+    if not n:
+        return value_ranks(df, value, **{**prefix_kw, "n_rows": 0})
+    slack = (1.0 - float(min_percent_rank)) * (n - 1)
+    # Rows and distinct cells above the interval that is being counted, and its own rows.
+    above, found, size = 0, 0, n
+    while size > min(CELL_ROWS, per) and lo < hi:
+        cell = cell_of(F.col("_v"), F.lit(lo), F.lit(hi))
+        rows = raw.where(F.col("_v").between(lo, hi)).groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        held = size
+        for c in sorted(rows.collect(), key=lambda r: -r.c):  # at most CELLS rows
+            lo, hi, size = c.lo, c.hi, c.n
+            if found + 1 >= top_n and above + c.n > slack:
+                break
+            above, found = above + c.n, found + 1
+        if size == held:
+            break
+    kept = raw.where(F.col("_v") >= lo).groupBy("_v").agg(F.count(F.lit(1)).alias("_w"))
+    total = df.sparkSession.range(1).select(F.lit(n).alias("_n"))
+    return _ranked(kept, total, **{**prefix_kw, "n_rows": above + size})
 
 
 def lead_within(
@@ -419,24 +359,23 @@ def lead_within(
     """``LEAD(value, offset) OVER (PARTITION BY ... ORDER BY ...)`` without putting a
     hot partition in one task.
 
-    Rows are bucketed as in :func:`ordered_prefix` and the window runs per (group,
+    Rows are range-partitioned as in :func:`ordered_prefix` and the window runs per (group,
     bucket).  Only the last ``offset`` rows of a bucket whose group continues in a later
     bucket need a value from elsewhere: the first ``offset`` rows of each later bucket of
     the group.  At most ``buckets - 1`` (group, bucket) pairs are continued, so both
     boundary tables hold at most ``offset * (buckets - 1)`` rows; they are cut with
     ``row_number() <= offset`` (limited before their shuffle) and the fix-up is broadcast
-    onto the main window by (group, bucket, local position).  The raw rows are shuffled
-    once."""
+    onto the main window by (group, bucket, local position)."""
     part = list(partition_by)
     keys = _keys(order_by)
     n = prefix_kw.get("row_bound")
     n = df.count() if n is None else n
     buckets = plan_buckets(n, prefix_kw.get("rows_per_bucket"), prefix_kw.get("max_buckets"))
     order_cols = [k.sort_col() for k in keys]
-    keyed = assign_buckets(df, part, keys[0], buckets, n, prefix_kw.get("seed", DEFAULT_SEED)) if buckets > 1 else None
-    if keyed is None:
+    if buckets == 1:
         w = Window.partitionBy(*part).orderBy(*order_cols)
         return df.withColumn(out_col, F.lead(F.col(value), offset).over(w))
+    keyed = ranged(df, part, keys, buckets)
     grp = ["_gk"] if part else []
     on = [*grp, "_bucket"]
     local_w = Window.partitionBy(*grp, "_bucket").orderBy(*order_cols)

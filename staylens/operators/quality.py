@@ -109,19 +109,29 @@ def assert_integrity(checks: DataFrame) -> None:
 def feature_overview(df: DataFrame, feature_columns: Iterable[str]) -> DataFrame:
     """feature, dtype, missing_rate, n_unique (distinct non-NULL), sorted by feature."""
     cols = list(feature_columns)
-    agg = df.agg(
-        *[F.avg(F.when(_is_missing(df, c), F.lit(1.0)).otherwise(F.lit(0.0))).alias(f"_m{i}") for i, c in enumerate(cols)],
-        *[F.count_distinct(F.col(c)).alias(f"_u{i}") for i, c in enumerate(cols)],
+    counts = value_counts(df, cols).groupBy("feature").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("gone"),
+        F.count("value").alias("n_unique"),
     )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                F.col(f"_m{i}").alias("missing_rate"),
-                F.col(f"_u{i}").cast("long").alias("n_unique"),
-            )
-            for i, c in enumerate(cols)
-        ]
-    )
-    return agg.select(F.inline(entries)).orderBy("feature")
+    kinds = F.create_map(*[F.lit(x) for c in cols for x in (c, df.schema[c].dataType.simpleString())])
+    # Features of an empty table have no counted value.
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(counts, "feature", "left").select(
+        "feature",
+        F.element_at(kinds, F.col("feature")).alias("dtype"),
+        (F.col("gone").cast("double") / F.col("rows").cast("double")).alias("missing_rate"),
+        F.coalesce("n_unique", F.lit(0)).cast("long").alias("n_unique"),
+    ).orderBy("feature")
+
+
+def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """feature, value (as text), missing, n: every distinct value of every column, counted in
+    one aggregate with partial counts.  A distinct count or a mode is then a small aggregate
+    per feature, instead of one Expand per distinct column or one map of all values."""
+    def text(c: str):
+        floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        return ((F.col(c) + 0.0) if floating else F.col(c)).cast("string")  # -0.0 is 0.0
+
+    cells = [F.struct(F.lit(c).alias("feature"), text(c).alias("value"), _is_missing(df, c).alias("missing")) for c in columns]
+    return df.select(F.inline(F.array(*cells))).groupBy("feature", "value", "missing").agg(F.count(F.lit(1)).alias("n"))

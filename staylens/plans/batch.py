@@ -70,7 +70,8 @@ def run(
         train, test, safe, include_boosted=include_boosted, seed=seed, num_trees=num_trees, boost_rounds=boost_rounds
     )
     scored = materialize(scored)
-    metrics = E.compare_model_metrics(E.binary_metrics(scored, **kw))
+    evaluation = E.evaluate_classifier(scored, **kw)
+    metrics = E.compare_model_metrics(evaluation["metrics"])
     prevalence = L.label_prevalence_table(labeled, **kw)
     names = [r["model"] for r in metrics.select("model").collect()]  # one row per model
     final_model = C.FINAL_MODEL_NAME if C.FINAL_MODEL_NAME in names else names[0]
@@ -91,6 +92,9 @@ def run(
         "subgroup_rates": P.subgroup_long_stay_rates(L.add_long_stay_labels(cohort, **kw), C.SUBGROUP_DIMENSIONS),
         "label_prevalence": prevalence,
         "model_metrics": metrics,
+        "confusion_matrix": evaluation["confusion_matrix"],
+        "classification_report": evaluation["classification_report"],
+        "threshold_table": evaluation["threshold_table"],
         "threshold_tuning": marked,
         "final_model_card": card,
         "feature_importance_logistic": M.logistic_importance(spark, models["logistic_regression"]),

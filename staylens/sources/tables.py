@@ -81,12 +81,17 @@ def _null_tokens_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
+# No separator and no quote: the whole line is the value.
+WHOLE_LINES = {"sep": "\x01", "quote": "\x00", "escape": "\x00", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _split_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with one record per line, all columns as text: files stay splittable.  A line
-    whose quotes do not pair up is part of a longer record; it raises instead of shifting
-    columns.  Every part file repeats the header, which names the columns."""
-    lines = spark.read.text(path)
-    head = next((r["value"] for r in lines.where(F.trim("value") != "").take(1)), None)  # one line
+    whose quotes do not pair up is part of a longer record, and a line may have too many
+    fields; both raise instead of shifting or cutting columns (missing fields are NULL).
+    The first line of every part file is its header, which names the columns; a data row
+    equal to it is kept."""
+    head = next((r["value"] for r in spark.read.text(path).where(F.trim("value") != "").take(1)), None)  # one line
     if head is None:
         return spark.createDataFrame([], T.StructType([]))
     names = next(csv.reader([head.lstrip("\ufeff")]))
@@ -95,8 +100,15 @@ def _split_csv(spark: SparkSession, path: str) -> DataFrame:
     line = F.when(quotes % 2 == 0, F.col("value")).otherwise(
         F.raise_error(F.lit(f"{path}: a quoted value spans lines; read this file with multi_line=True"))
     )
-    records = lines.where((F.trim("value") != "") & (F.col("value") != head))
-    return records.select(F.from_csv(line, _ddl(schema), CSV_DIALECT).alias("r")).select("r.*")
+    # Lines as a CSV of one column: Spark itself leaves out the first line of each file.
+    lines = spark.read.schema("value string").options(header=True, enforceSchema=True, **WHOLE_LINES).csv(path)
+    beyond = "_".join(["beyond", *names])
+    ddl = f"{_ddl(schema)}, `{beyond.replace('`', '``')}` STRING"
+    parsed = lines.where(F.trim("value") != "").select(F.from_csv(line, ddl, CSV_DIALECT).alias("r"))
+    checked = F.when(F.col("r").getField(beyond).isNull(), F.col("r")).otherwise(
+        F.raise_error(F.lit(f"{path}: a line has more than {len(names)} fields"))
+    )
+    return parsed.select(checked.alias("r")).select("r.*").drop(beyond)
 
 
 def _ddl(schema: T.StructType) -> str:

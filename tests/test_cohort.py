@@ -80,3 +80,28 @@ def test_missing_column_is_reported(tables):
     a, p = tables
     with pytest.raises(ValueError, match="race"):
         build_cohort_sql(a.drop("race"), p)
+
+
+def test_null_subjects_are_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from staylens.operators.cohort import join_patients_sql
+
+    ids = spark.range(6000).select(
+        F.col("id").alias("hadm_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 500).alias("subject_id"), F.current_timestamp().alias("admittime")
+    )
+    patients = spark.range(500).select(
+        F.col("id").alias("subject_id"), F.lit("F").alias("gender"), F.lit(40).alias("anchor_age"), F.lit(2020).alias("anchor_year")
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = join_patients_sql(ids, patients)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 1000  # a third of the keys are NULL
+        assert out.where("subject_id IS NULL AND gender IS NOT NULL").count() == 0 and out.where("gender = 'F'").count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -162,3 +162,15 @@ def test_metric_melt_and_card(spark, random_scored):
     card = E.final_recommendation_card(metrics, prevalence).collect()[0]
     assert card["final_model_name"] in ("m", "other") and card["final_operating_threshold"] == 0.4
     assert card["business_recommendation"].endswith("0.40.")
+
+
+def test_evaluation_bundle_holds_the_single_reports(random_scored):
+    scored = random_scored[2]
+    bundle = E.evaluate_classifier(scored)
+    single = {
+        "metrics": E.binary_metrics(scored), "confusion_matrix": E.confusion_matrix(scored),
+        "classification_report": E.classification_report(scored), "threshold_table": E.threshold_table(scored),
+    }
+    assert set(bundle) == set(single)
+    for name, df in single.items():
+        assert sorted(map(str, bundle[name].collect())) == sorted(map(str, df.collect()))

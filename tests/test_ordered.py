@@ -155,3 +155,36 @@ def test_top_value_ranks_extremes(data, top_n, r):
     top = {x["_v"]: x["dense_rank_desc"] for x in top_value_ranks(data, "v", top_n, r, rows_per_bucket=20).collect()}
     assert {v for v, (d, p) in full.items() if d <= top_n or p >= r} <= set(top)
     assert all(full[v][0] == d for v, d in top.items())
+
+
+def test_hot_value_spreads_over_ranges(spark):
+    from staylens.operators.ordered import ranged
+
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.rand(1) * 10).alias("v"))
+    sizes = [r["count"] for r in ranged(rows, [], [OrderKey("v")], 20).groupBy("_bucket").count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 9000 / 8  # a third of all rows has one value
+    tied = ordered_prefix(rows, [], [OrderKey("v"), OrderKey("id")], rows_per_bucket=450).orderBy("_pos").collect()
+    assert [r["_pos"] for r in tied] == list(range(1, 9001))
+    assert [(r["v"], r["id"]) for r in tied] == sorted((r["v"], r["id"]) for r in tied)
+
+
+def test_ranks_by_counting_at_the_ends_of_double(spark):
+    values = [0.0, 5e-324, 1e-310, -1e-310, 1.7e308, -1.7e308, float("inf"), float("-inf"), 1.0, 1.0, 1.0 + 2**-52, 3.5] * 30
+    values += [2.0**k for k in range(-1000, 1000, 40)]
+    df = spark.createDataFrame([(i % 2, x) for i, x in enumerate(values)], "g long, v double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {(r["g"], r["percentile"]): r["value"] for r in exact_percentiles(df, "v", probs, ["g"], rows_per_bucket=3).collect()}
+    for g in (0, 1):
+        own = sorted(x for i, x in enumerate(values) if i % 2 == g)
+        for p in probs:
+            h = p * (len(own) - 1)
+            lo, hi = own[int(np.floor(h))], own[int(np.ceil(h))]
+            if lo == hi or np.isfinite(hi - lo):
+                assert got[g, p] == pytest.approx(lo + (0.0 if lo == hi else (hi - lo) * (h - np.floor(h))), nan_ok=True)
+    assert len(got) == 10
+
+
+def test_ungrouped_percentiles_by_counting(spark, data):
+    pdf = data.toPandas()
+    got = exact_percentiles(data, "v", [0.0, 0.333, 0.9], rows_per_bucket=10).collect()
+    assert [r["value"] for r in sorted(got, key=lambda r: r["_pidx"])] == pytest.approx([float(np.percentile(pdf.v, 100 * p)) for p in (0.0, 0.333, 0.9)])

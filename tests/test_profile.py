@@ -90,3 +90,20 @@ def test_quality_reports(spark):
     assert checks["positive_los"] == 1
     with pytest.raises(AssertionError):
         Q.assert_integrity(Q.integrity_checks(c))
+
+
+def test_density_equals_the_plain_sum(spark):
+    import math
+
+    import numpy as np
+
+    from staylens.operators.profile import los_density
+
+    rng = np.random.default_rng(5)
+    for values in (np.concatenate((rng.gamma(2, 3, 400), [900.0, 900.0])), rng.normal(1e3, 0.5, 50), np.array([1.0, 2.0])):
+        n, h = len(values), values.std(ddof=1) * len(values) ** -0.2
+        got = los_density(spark.createDataFrame([(float(v),) for v in values], "los_days double"), points=60).orderBy("point").collect()
+        grid = np.array([r["los_days"] for r in got])
+        want = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1) / (n * h * math.sqrt(2 * math.pi))
+        assert len(got) == 60 and np.abs(np.array([r["density"] for r in got]) - want).max() <= 1e-11 / h
+    assert los_density(spark.createDataFrame([(1.0,), (1.0,), (None,)], "los_days double")).count() == 0

@@ -127,3 +127,26 @@ def test_csv_round_trip_keeps_text(spark, tmp_dir):
     for suffix in ("csv", "csv.gz"):
         path = sinks.save_dataframe(df, os.path.join(tmp_dir, f"t.{suffix}"))
         assert sorted((r.p, r.q, int(r.n)) for r in tables.read_table(spark, path).collect()) == sorted(rows)
+
+
+def test_data_row_equal_to_the_header_stays(spark, tmp_dir):
+    import os
+
+    from staylens.sources.tables import read_table
+
+    folder = f"{tmp_dir}/t.csv"
+    os.makedirs(folder)
+    for part in (1, 2):
+        with open(f"{folder}/part-{part}.csv", "w") as f:
+            f.write('a,b\na,b\n1,"x, y"\n\n  2,\n3\n')
+    rows = sorted(map(tuple, read_table(spark, folder).collect()), key=str)
+    assert rows == sorted([("a", "b"), ("1", "x, y"), ("  2", None), ("3", None)] * 2, key=str)
+
+
+def test_too_many_fields_raise(spark, tmp_dir):
+    from staylens.sources.tables import read_table
+
+    with open(f"{tmp_dir}/t.csv", "w") as f:
+        f.write("a,b\n1,x\n2,y,extra\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        read_table(spark, f"{tmp_dir}/t.csv").collect()
