@@ -202,11 +202,17 @@ def exact_percentiles(
     )
 
 
-def cell_of(v: Column, lo: Column, hi: Column) -> Column:
-    """The equal-width cell of ``v`` between ``lo`` and ``hi``: never falls as ``v`` grows.
-    Halves keep the width finite; where it is too small to divide by, all is one cell.
-    Infinite values count as the largest finite ones."""
+def cell_of(v: Column, lo: Column, hi: Column, by_ratio: bool = False) -> Column:
+    """The cell of ``v`` between ``lo`` and ``hi``, which never falls as ``v`` grows: of equal
+    width, or ``by_ratio`` of equal ratio of the distance from ``lo`` (e^0.36, over all
+    magnitudes of a double).  Passes take turns, so that neither a few far values nor values
+    crowded at one end keep a cell full.  Halves keep the width finite; where it is too small
+    to divide by, all is one cell.  Infinite values count as the largest finite ones."""
     v, lo, hi = (F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max)) for x in (v, lo, hi))
+    if by_ratio:
+        away = v / 2 - lo / 2
+        cell = F.floor((F.log(away) + F.lit(746.0)) * F.lit((CELLS - 1) / 1456.0)) + F.lit(1)
+        return F.when(away > 0, F.greatest(F.least(cell, F.lit(CELLS - 1)), F.lit(1))).otherwise(F.lit(0)).cast("int")
     scale = F.lit(CELLS / 2.0) / (hi / 2 - lo / 2)
     cell = F.floor((v / 2 - lo / 2) * scale * 2)
     usable = (hi > lo) & (scale < F.lit(1e300))
@@ -228,15 +234,16 @@ def _values_at_ranks(raw: DataFrame, ranks: DataFrame, cell_rows: int) -> DataFr
         at = F.broadcast(intervals.withColumnRenamed("_gk", "_ig")) if _ungrouped(raw) else intervals.withColumnRenamed("_gk", "_ig")
         return raw.join(at, F.col("_gk").eqNullSafe(F.col("_ig")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop("_ig")
 
-    held = None
+    sizes: list[int] = []
     while True:
         open_ = ranks.where((F.col("_cnt") > cell_rows) & (F.col("_lo") < F.col("_hi")))
         size = open_.agg(F.max("_cnt")).first()[0]  # one row
-        if size is None or size == held:  # nothing open, or only values too close for cells
+        if size is None or sizes[-2:] == [size, size]:  # nothing open, or only values too close for cells
             break
-        held = size
+        sizes.append(size)
+        cell = cell_of(F.col("_v"), F.col("_lo"), F.col("_hi"), by_ratio=len(sizes) % 2 == 0)
         rows = inside(open_.select("_gk", "_lo", "_hi", "_before").distinct())
-        cells = rows.groupBy("_gk", F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_before", cell_of(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")).agg(
+        cells = rows.groupBy("_gk", F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_before", cell.alias("_cell")).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_clo"), F.max("_v").alias("_chi")
         )
         earlier = Window.partitionBy("_gk", "_l", "_h").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -331,17 +338,16 @@ def top_value_ranks(
     slack = (1.0 - float(min_percent_rank)) * (n - 1)
     # Rows and distinct cells above the interval that is being counted, and its own rows.
     above, found, size = 0, 0, n
-    while size > min(CELL_ROWS, per) and lo < hi:
-        cell = cell_of(F.col("_v"), F.lit(lo), F.lit(hi))
+    sizes: list[int] = []
+    while size > min(CELL_ROWS, per) and lo < hi and sizes[-2:] != [size, size]:
+        sizes.append(size)
+        cell = cell_of(F.col("_v"), F.lit(lo), F.lit(hi), by_ratio=len(sizes) % 2 == 0)
         rows = raw.where(F.col("_v").between(lo, hi)).groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-        held = size
         for c in sorted(rows.collect(), key=lambda r: -r.c):  # at most CELLS rows
             lo, hi, size = c.lo, c.hi, c.n
             if found + 1 >= top_n and above + c.n > slack:
                 break
             above, found = above + c.n, found + 1
-        if size == held:
-            break
     kept = raw.where(F.col("_v") >= lo).groupBy("_v").agg(F.count(F.lit(1)).alias("_w"))
     total = df.sparkSession.range(1).select(F.lit(n).alias("_n"))
     return _ranked(kept, total, **{**prefix_kw, "n_rows": above + size})
