@@ -1,14 +1,15 @@
 """Document scores by cross-entropy difference of two n-gram models.
 
 A target model (documents named by an id table) and a background model (other documents,
-matched in size) are character ``ORDER``-gram models over one shared vocabulary: the
-``VOCABULARY`` most frequent characters of the whole corpus, all others being one unknown
-token.  Both are smoothed the same way (Witten-Bell, interpolated down to single tokens).
+matched in size) are character ``ORDER``-gram models over one shared vocabulary, taken from
+the character counts of the whole corpus: a character is one token of 16 bits, and should
+there be more than ``VOCABULARY`` different ones, each of the rarest is spelled as two tokens
+of its own, so no two characters are ever taken for one.  Both models are smoothed the same way (Witten-Bell, interpolated down to single tokens).
 Every token of a document has a loss under either model; the mean difference, target less
 background, is the score: below 0 the document looks more like the target.
 
 Scale: documents are dealt by a hash of their id into blocks of about ``BLOCK_BYTES`` of
-text.  A block counts its distinct n-grams, Spark adds the counts of all blocks, derives
+text, whose number follows from the size of all texts alone.  A block counts its distinct n-grams, Spark adds the counts of all blocks, derives
 the probabilities with joins on n-gram codes, and gives each block the losses of just its
 own n-grams.  So no model is ever held whole, by the driver or a task, and what is gathered
 grows with the corpus.  In each block, background documents are taken in hash order until
@@ -31,8 +32,11 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, store
 
 ORDER = 4
-VOCABULARY = 254  # codes 1 .. 254; 255 is the unknown token, 0 stands before a text
-UNKNOWN = 255
+TOKEN_BITS = 16
+VOCABULARY = 63_000  # codes from 1 on; 0 stands before a text
+# A character outside the vocabulary is spelled as its high and its low part.
+LOW_PARTS = 1024
+HIGH_PARTS = 0x110000 // LOW_PARTS
 BLOCK_BYTES = 8 << 20
 _POINTS = 0x110000
 
@@ -61,20 +65,38 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> list[int]:
 
 
 def coder(chars: list[int]) -> np.ndarray:
-    """Token of every code point."""
-    table = np.full(_POINTS, UNKNOWN, np.uint32)
+    """Token of every code point, 0 if it is spelled."""
+    table = np.zeros(_POINTS, np.uint32)
     table[np.array(chars, np.int64)] = np.arange(1, len(chars) + 1)
     return table
 
 
+def kinds_of_tokens(chars: list[int]) -> int:
+    """Size of the vocabulary, with the start and an unseen token."""
+    return len(chars) + 2 + (HIGH_PARTS + LOW_PARTS if len(chars) >= VOCABULARY else 0)
+
+
+def tokens_of(text: str, table: np.ndarray) -> np.ndarray:
+    cp = points(text)
+    tokens = table[cp]
+    spelled = tokens == 0
+    if not spelled.any():
+        return tokens
+    out = np.repeat(tokens, 1 + spelled)
+    at = (np.cumsum(1 + spelled) - 1)[spelled]  # of the low part
+    out[at - 1] = VOCABULARY + 1 + cp[spelled] // LOW_PARTS
+    out[at] = VOCABULARY + 1 + HIGH_PARTS + cp[spelled] % LOW_PARTS
+    return out
+
+
 def grams(text: str, table: np.ndarray) -> np.ndarray:
-    """Code of the n-gram that ends at each token, 8 bits per token, last token lowest."""
-    tokens = np.concatenate((np.zeros(ORDER - 1, np.uint32), table[points(text)]))
+    """Code of the n-gram that ends at each token, 16 bits per token, last token lowest."""
+    tokens = np.concatenate((np.zeros(ORDER - 1, np.uint64), tokens_of(text, table).astype(np.uint64)))
     n = len(tokens) - ORDER + 1
-    code = np.zeros(n, np.uint32)
+    code = np.zeros(n, np.uint64)
     for k in range(ORDER):
-        code = (code << np.uint32(8)) | tokens[k : k + n]
-    return code
+        code = (code << np.uint64(TOKEN_BITS)) | tokens[k : k + n]
+    return code.view(np.int64)
 
 
 def blocks(rows: DataFrame, number: int) -> DataFrame:
@@ -95,7 +117,7 @@ def count_block(docs: pa.Table, target: set, table: np.ndarray, block: int) -> p
         role[i] = 2
         wanted -= len(texts[i])
     codes = [grams(t, table) for t in texts]
-    empty = np.zeros(0, np.uint32)
+    empty = np.zeros(0, np.int64)
     keys = np.unique(np.concatenate(codes or [empty]))
     counts = []
     for own in (1, 2):
@@ -103,32 +125,32 @@ def count_block(docs: pa.Table, target: set, table: np.ndarray, block: int) -> p
         full = np.zeros(len(keys), np.int64)
         full[np.searchsorted(keys, got)] = n
         counts.append(full)
-    return pa.table({"block": pa.array(np.full(len(keys), block), pa.int64()), "gram": pa.array(keys.astype(np.int64)), "t": counts[0], "b": counts[1]})
+    return pa.table({"block": pa.array(np.full(len(keys), block), pa.int64()), "gram": pa.array(keys), "t": counts[0], "b": counts[1]})
 
 
-def losses(counts: DataFrame) -> DataFrame:
-    """(gram, loss_t, loss_b) in nats for a table (gram, t, b) of all n-grams met.
+def losses(counts: DataFrame, size: int) -> DataFrame:
+    """(gram, loss_t, loss_b) in nats for a table (gram, t, b) of all n-grams met, over
+    ``size`` kinds of tokens (V).
 
     Witten-Bell: p(w | h) = (c(h w) + N(h) p(w | shorter h)) / (c(h) + N(h)) with N(h) the
     number of different tokens behind h, from p(w) = (c(w) + 1) / (c + V)."""
     table, below = counts, None
     levels = [store(table, f"grams-{ORDER}")]
     for order in range(ORDER - 1, 0, -1):  # counts of shorter n-grams: the first token dropped
-        mask = (1 << 8 * order) - 1
+        mask = (1 << TOKEN_BITS * order) - 1
         shorter = levels[-1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
         levels.append(store(shorter, f"grams-{order}"))
     total = levels[-1].agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    size = VOCABULARY + 2
     below = levels[-1].select("gram", *[((F.col(s) + 1) / (total[s] + size)).alias(f"p{s}") for s in ("t", "b")])
     for order in range(2, ORDER + 1):
         level = levels[ORDER - order]
-        context = F.shiftright("gram", 8).alias("context")
+        context = F.shiftrightunsigned("gram", TOKEN_BITS).alias("context")
         seen = store(
             level.groupBy(context).agg(*[e for s in ("t", "b") for e in (F.sum(s).alias(f"c{s}"), F.sum((F.col(s) > 0).cast("long")).alias(f"n{s}"))]),
             f"contexts-{order}",
         )
         shorter = store(below, f"probabilities-{order - 1}").withColumnRenamed("gram", "rest")
-        rows = level.withColumns({"context": F.shiftright("gram", 8), "rest": F.col("gram").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1))})
+        rows = level.withColumns({"context": F.shiftrightunsigned("gram", TOKEN_BITS), "rest": F.col("gram").bitwiseAND(F.lit((1 << TOKEN_BITS * (order - 1)) - 1))})
         rows = rows.join(seen, "context").join(shorter, "rest")
         smooth = lambda s: F.when(F.col(f"c{s}") > 0, (F.col(s) + F.col(f"n{s}") * F.col(f"p{s}")) / (F.col(f"c{s}") + F.col(f"n{s}"))).otherwise(F.col(f"p{s}"))
         below = rows.select("gram", smooth("t").alias("pt"), smooth("b").alias("pb"))
@@ -139,7 +161,7 @@ def score_block(docs: pa.Table, known: pa.Table, table: np.ndarray) -> pa.Table:
     """(id, n_tokens, loss_target, loss_background, score) of a block's documents."""
     gram = known.column("gram").to_numpy()
     order = np.argsort(gram)
-    gram = gram[order].astype(np.uint32)
+    gram = gram[order]
     t, b = known.column("loss_t").to_numpy()[order], known.column("loss_b").to_numpy()[order]
     rows = []
     for text in docs.column("text").to_pylist():
@@ -160,7 +182,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     shared = spark.sparkContext.broadcast(chars)  # at most VOCABULARY numbers
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
-    number = max(math.ceil(size / block_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    number = max(1, math.ceil(size / block_bytes))
     dealt = blocks(rows.withColumn("place", F.xxhash64(F.lit("background"), "id")), number)
     marks = blocks(target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).where("id IS NOT NULL").distinct(), number)
 
@@ -171,7 +193,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
 
     counted = store(dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, "block long, gram long, t long, b long"), "block-grams")
     totals = counted.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    known = store(counted.select("block", "gram").join(losses(totals), "gram"), "block-losses")
+    known = store(counted.select("block", "gram").join(losses(totals, kinds_of_tokens(chars)), "gram"), "block-losses")
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         return score_block(left, right, coder(shared.value))

@@ -14,8 +14,8 @@ SF = "/root/testdata/sf0.001"
 def plain(docs, target, number):
     """docs: (id, text, place, block); the same models with dictionaries."""
     chars = Counter(c for _, t, _, _ in docs for c in t)
-    vocab = {c: i + 1 for i, (c, _) in enumerate(sorted(chars.items(), key=lambda p: (-p[1], ord(p[0])))[: S.VOCABULARY])}
-    coded = [[0] * (S.ORDER - 1) + [vocab.get(c, S.UNKNOWN) for c in t] for _, t, _, _ in docs]
+    vocab = {c: i + 1 for i, (c, _) in enumerate(sorted(chars.items(), key=lambda p: (-p[1], ord(p[0]))))}
+    coded = [[0] * (S.ORDER - 1) + [vocab[c] for c in t] for _, t, _, _ in docs]
     role = {}
     for b in range(number):
         own = [i for i, d in enumerate(docs) if d[3] == b]
@@ -47,7 +47,7 @@ def plain(docs, target, number):
     def p(side, g):
         c, total, kinds = models[side]
         if len(g) == 1:
-            return (c[1][g] + 1) / (total[()] + S.VOCABULARY + 2)
+            return (c[1][g] + 1) / (total[()] + len(vocab) + 2)
         h, low = g[:-1], p(side, g[1:])
         return (c[len(g)][g] + kinds[h] * low) / (total[h] + kinds[h]) if total[h] else low
 
@@ -62,11 +62,12 @@ def plain(docs, target, number):
 def test_matches_a_plain_implementation(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("n_chars < 1500")
     labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
-    number = 4  # the session's shuffle partitions
-    assert spark.conf.get("spark.sql.shuffle.partitions") == str(number)
+    bytes_ = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    number = -(-bytes_ // 20_000)
+    assert number > 3
     rows = S.blocks(docs.select(F.col("doc_id").alias("id"), "text").withColumn("place", F.xxhash64(F.lit("background"), "id")), number).collect()
     want = plain([(r.id, r.text, r.place, r.block) for r in rows], {r.doc_id for r in labels.collect()}, number)
-    got = {r.id: r for r in S.score(docs, labels).collect()}
+    got = {r.id: r for r in S.score(docs, labels, block_bytes=20_000).collect()}
     assert len(got) == len(rows)
     for r, (n, t, b) in zip(rows, want, strict=True):
         g = got[r.id]
@@ -91,3 +92,34 @@ def test_odd_rows(spark):
     assert len({r.score for r in got if r.id == 3}) == 1
     assert S.score(docs.limit(0), target).count() == 0
     assert {r.score for r in S.score(docs, target.limit(0)).collect()} == {0.0}
+
+
+def test_scores_do_not_depend_on_shuffle_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    target = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = []
+        for n in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(map(tuple, S.score(docs, target).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == [pytest.approx(r, abs=1e-12) for r in got[1]]
+
+
+def test_rare_characters_are_spelled(monkeypatch):
+    monkeypatch.setattr(S, "VOCABULARY", 2)
+    table = S.coder([ord("a"), ord("b")])
+    assert S.tokens_of("abz字a🙂", table).tolist() == [1, 2, 3, 3 + S.HIGH_PARTS + 122, 3 + 23383 // 1024, 3 + S.HIGH_PARTS + 23383 % 1024, 1, 3 + 128578 // 1024, 3 + S.HIGH_PARTS + 128578 % 1024]
+    assert len({tuple(S.tokens_of(chr(c), table)) for c in range(0x3000, 0x9000)}) == 0x6000
+
+
+def test_other_scripts_are_scored_by_their_own_characters(spark):
+    one, two = "天地玄黃宇宙洪荒日月盈昃", "辰宿列張寒來暑往秋收冬藏"
+    filler = [(100 + i, "".join(map(chr, range(0x100 + 20 * i, 0x114 + 20 * i)))) for i in range(20)]  # 400 other characters
+    rows = [(i, (one if i % 2 else two) * 15) for i in range(60)] + filler
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([(i,) for i in range(1, 40, 2)], "doc_id long")
+    got = {r.id: r.score for r in S.score(docs, target).collect()}
+    assert max(got[i] for i in range(1, 60, 2)) < min(got[i] for i in range(0, 60, 2))
