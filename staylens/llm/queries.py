@@ -109,7 +109,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = T.train(T.training_rows(docs, table(spark, sf_dir, "labels")))
     return T.score(docs, model).select(
         F.col("id").alias("doc_id"), T.held_out("id").alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("unit").alias("worst_unit"),
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.regexp_replace("unit", r"^\^|\$$", "").alias("worst_unit"),
     )
 
 
