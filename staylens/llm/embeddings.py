@@ -15,10 +15,10 @@ Recall: a pair at cosine c agrees on a bit with probability 1 - acos(c) / pi; it
 in a pass when it agrees on about the first log2(2 n / WINDOW) bits (half a window of rows,
 as prefixes hold unequal numbers).  The passes follow from the counted number of vectors, so
 that among vectors spread over all directions a pair at the threshold is missed in about
-``MISS`` of the cases at any size; they run in rounds of at most ``ROUND``.  Where many
-vectors crowd into one direction without being linked, prefixes hold more rows than this
-assumes and more such pairs are missed; the wide window and the least number of passes are
-for them (figures in the README).
+``MISS`` of the cases at any size.  Where many vectors crowd into one direction without being
+linked, prefixes hold more rows than this assumes.  So the passes run in two rounds at least,
+each round's links are joined to the components so far, and further rounds follow until one
+joins no more than ``MISS`` / 4 of all that is joined: the data, not the formula, end the search.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing and are kept; vectors of different lengths never link; repeated rows are vectors of
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, components, store
+from .common import arrow_batches, components, discard, store
 
 THRESHOLD = 0.9
 PASSES = 30  # at least
@@ -261,7 +261,7 @@ def near_duplicates(
     seed: int = SEED,
 ) -> DataFrame:
     """(id, n_links, component_id, kept): one row per input row.  Without ``passes``, as
-    many as :func:`passes_for` says."""
+    many as :func:`passes_for` says and more until a round adds nearly nothing."""
     spark = vectors.sparkSession
     arrow_batches(spark, ROWS)
     rows = store(
@@ -271,13 +271,20 @@ def near_duplicates(
     usable = rows.where(
         F.col("v").isNotNull() & (F.size("v") > 0) & ~F.coalesce(F.exists("v", bad), F.lit(True)) & F.exists("v", lambda c: c != 0)
     ).select("uid", "v")
-    passes = passes or passes_for(usable.count(), window, threshold)
-    found = None
-    for first in range(0, passes, ROUND):  # a round shuffles ROUND copies of the vectors at most
-        links = candidate_links(usable, threshold, min(ROUND, passes - first), window, seed + first)
-        links = store(links.distinct(), "round-links") if passes > ROUND else links
-        found = links if found is None else found.union(links)
-    labels = store(components(found).withColumnRenamed("id", "uid"), "labels")
+    planned = passes or passes_for(usable.count(), window, threshold)
+    size = min(ROUND, -(-planned // 2))  # a round shuffles ROUND copies of the vectors at most
+    tree, done, linked, settled = None, 0, 0, False
+    while not settled:
+        take = min(size, planned - done) if passes else size
+        links = candidate_links(usable, threshold, take, window, seed + done)
+        before, tree = tree, store(components(links if tree is None else links.union(tree)).toDF("a", "b"), "tree")
+        if before is not None:
+            discard(before)
+        done += take
+        gained, linked = -linked, tree.where("a <> b").count()
+        gained += linked
+        settled = done >= planned and (passes is not None or gained <= linked * MISS / 4)
+    labels = tree.toDF("uid", "component")
     members = store(rows.join(labels, "uid").select("component", "uid", "id", "v"), "members")
     counts = count_links(members.select("component", "uid", "v"), threshold)
     names = store(members.groupBy("component").agg(F.min("id").alias("component_id")), "names")

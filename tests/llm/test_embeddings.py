@@ -80,8 +80,10 @@ def test_passes_follow_the_number_of_vectors():
         assert E.passes_for(n) == E.PASSES or E.MISS < (1 - found) ** (E.passes_for(n) - 2)
 
 
-def test_half_of_the_vectors_crowd_around_one_direction(spark):
-    """Cosine 0.9 with the direction, about 0.81 with each other: production settings."""
+@pytest.mark.parametrize("window", [E.WINDOW, 64])
+def test_half_of_the_vectors_crowd_around_one_direction(spark, window):
+    """Cosine 0.9 with the direction, about 0.81 with each other: production settings, and a
+    window as narrow as among eight times the vectors."""
     rng, n, crowd, dim = np.random.default_rng(2), 9000, 4500, 64
     x = rng.standard_normal((n, dim))
     axis = rng.standard_normal(dim)
@@ -91,7 +93,7 @@ def test_half_of_the_vectors_crowd_around_one_direction(spark):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     linked = (x @ x.T >= 0.9).sum(1) - 1
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {r.id: r.n_links for r in E.near_duplicates(df).collect()}
+    got = {r.id: r.n_links for r in E.near_duplicates(df, window=window).collect()}
     assert linked.sum() > 400 and sum(got.values()) >= 0.99 * linked.sum()
     assert all(got[i] <= linked[i] for i in range(n))
 
