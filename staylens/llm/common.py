@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.session import checkpoint_dir
+from staylens.session import checkpoint_dir, share_package
 
 # Rows per Arrow batch handed to Python: whole texts can be long, so batches stay small.
 ARROW_ROWS = 256
@@ -19,11 +17,7 @@ def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of an Arrow batch, which bounds a Python worker's memory, and let
     workers import this package wherever the driver was started."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    share_package(spark)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
