@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from staylens.operators import ordered as O
 from staylens.operators.ordered import OrderKey, exact_percentiles, lead_within, ordered_prefix, percentile_columns, value_ranks
 
 
@@ -85,6 +86,18 @@ def test_lead_matches_window(data, per):
     assert {r["id"]: r["nid"] for r in got.select("id", "nid").collect()} == {r["id"]: r["nid"] for r in exp.collect()}
 
 
+def test_lead_ranges_the_rows_of_large_groups_only(data, monkeypatch):
+    """All rows were range-partitioned and written as soon as they were many."""
+    seen = []
+    plain = O.ranged
+    monkeypatch.setattr(O, "ranged", lambda df, *a: (seen.append({r["g"] for r in df.select("g").distinct().collect()}), plain(df, *a))[1])
+    exp = {r["id"]: r["nid"] for r in data.select("id", F.lead("id", 3).over(Window.partitionBy("g").orderBy("v", "id")).alias("nid")).collect()}
+    for per, large in ((200, [{0}]), (1500, [])):  # group 0 has 1,000 rows, the others below 100
+        seen.clear()
+        got = lead_within(data, ["g"], [OrderKey("v"), OrderKey("id")], "id", 3, "nid", rows_per_bucket=per)
+        assert {r["id"]: r["nid"] for r in got.select("id", "nid").collect()} == exp and seen == large
+
+
 def test_row_order_does_not_matter(data):
     a = exact_percentiles(data, "v", [0.5, 0.9], ["g"], rows_per_bucket=50).collect()
     b = exact_percentiles(data.repartition(7).orderBy(F.rand(3)), "v", [0.5, 0.9], ["g"], rows_per_bucket=50).collect()
